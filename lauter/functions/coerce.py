@@ -14,8 +14,11 @@ EMAIL_RE = (
 MAX_LOCAL_PART = 64
 # ----------------------------------------------------------------------------
 
-_DATE_TIME_RE = r"^\d{4}-\d{1,2}-\d{1,2}(\s+\d{1,2}:\d{1,2}:\d{1,2}|T\d{1,2}:\d{1,2}:\d{1,2}Z?)?$"
-_SLASH_DATE_RE = r"^\d{1,2}/\d{1,2}/\d{4}$"
+_DATE = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}"
+_CLOCK = r"\d{1,2}:\d{1,2}:\d{1,2}"
+_ISO_RE = rf"{_DATE}( {_CLOCK}|T{_CLOCK}Z?)?$"
+_SPACED_RE = rf"{_DATE}\s+{_CLOCK}$"
+_SLASH_RE = r"^(\d{1,2})/(\d{1,2})/((?!0000)\d{4})$"
 _INTEGER_RE = r"^[+-]?\d+(_\d+)*(\.0+)?$"
 
 
@@ -29,9 +32,13 @@ def is_phone(text: Column) -> Column:
     return text.rlike(PHONE_RE)
 
 
+def _without_underscores(text: Column) -> Column:
+    return F.when(text.contains("_"), F.translate(text, "_", "")).otherwise(text)
+
+
 def to_decimal(text: Column) -> Column:
     """DECIMAL(38,18), or NULL for anything that is not a finite number."""
-    return F.translate(text, "_", "").try_cast("decimal(38,18)")
+    return _without_underscores(text).try_cast("decimal(38,18)")
 
 
 def to_price(text: Column) -> Column:
@@ -41,36 +48,29 @@ def to_price(text: Column) -> Column:
 
 def to_integer(text: Column) -> Column:
     """Whole numbers, ``2.0`` included and ``2.5`` not."""
-    digits = F.translate(F.regexp_replace(text, r"\.0+$", ""), "_", "")
-    return F.when(text.rlike(_INTEGER_RE), digits.try_cast("bigint"))
+    whole = F.when(text.contains("."), F.substring_index(text, ".", 1)).otherwise(text)
+    return F.when(text.rlike(_INTEGER_RE), _without_underscores(whole).try_cast("bigint"))
 
 
 def to_timestamp(text: Column) -> Column:
     """First match of year-month-day with optional time (a space or ``T``, the
     latter with optional ``Z``), day/month/year, month/day/year.
 
-    The expression does not depend on the session time zone.
+    The patterns fix the shape and the cast checks the ranges. A cast to a
+    timestamp without zone drops the ``Z`` and ignores the session time zone.
     """
 
-    def build(year: Column, month: Column, day: Column, *clock: Column) -> Column:
-        hour, minute, second = clock or (F.lit(0), F.lit(0), F.lit(0))
-        # Spark rolls second 60 over to the next minute; a clock never shows it
-        in_range = (year >= 1) & (second < 60)
-        return F.when(
-            in_range, F.try_make_timestamp_ntz(year, month, day, hour, minute, second)
+    def cast(value: Column) -> Column:
+        return value.try_cast("timestamp_ntz")
+
+    return (
+        F.when(text.rlike(_ISO_RE), cast(text))
+        .when(text.rlike(_SPACED_RE), cast(F.regexp_replace(text, r"\s+", " ")))
+        .when(
+            text.rlike(_SLASH_RE),
+            F.coalesce(
+                cast(F.regexp_replace(text, _SLASH_RE, "$3-$2-$1")),
+                cast(F.regexp_replace(text, _SLASH_RE, "$3-$1-$2")),
+            ),
         )
-
-    def part(pieces: Column, index: int) -> Column:
-        return F.get(pieces, F.lit(index)).try_cast("int")
-
-    stamp = F.split(text, r"[-:T\s]+|Z$")
-    slash = F.split(text, "/")
-    first, second, year = (part(slash, i) for i in range(3))
-    clock = [F.coalesce(part(stamp, i), F.lit(0)) for i in range(3, 6)]
-    return F.when(
-        text.rlike(_DATE_TIME_RE),
-        build(part(stamp, 0), part(stamp, 1), part(stamp, 2), *clock),
-    ).when(
-        text.rlike(_SLASH_DATE_RE),
-        F.coalesce(build(year, second, first), build(year, first, second)),
     )

@@ -41,9 +41,14 @@ PLAIN_RANGES = (
     (0xAC00, 0xD7A3),  # Hangul syllables
 )
 _NOT_PLAIN = "[^" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in PLAIN_RANGES) + "]"
+_NOT_LATIN = r"[^\x00-\x{2ff}]"
 
 # Category C characters inside PLAIN_RANGES, tab and newline excepted.
-_PLAIN_CONTROLS = r"[\x{0}-\x{8}\x{b}-\x{1f}\x{7f}-\x{9f}\x{ad}]"
+_PLAIN_CONTROLS = r"[\x00-\x08\x0b-\x1f\x7f-\x9f\xad]"
+
+# What printable ASCII text without outer blanks does not contain.
+_UNTIDY = r"[^\x20-\x7e]|^ | $"
+_LONGEST_SENTINEL = max(map(len, NULL_SENTINELS))
 
 _WORD_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
 
@@ -73,23 +78,37 @@ def _unicode_normaliser():
 _normalise_unicode = _unicode_normaliser()
 
 
+def _needs_python(text: Column) -> Column:
+    """The cheapest test first: ASCII text has as many characters as bytes."""
+    other = F.octet_length(text) != F.length(text)
+    return other & text.rlike(_NOT_LATIN) & text.rlike(_NOT_PLAIN)
+
+
 def fix_encoding(text: Column) -> Column:
     """NFC form without control characters.
 
     Only text outside PLAIN_RANGES reaches Python; every other row crosses as NULL.
     """
-    normalised = _normalise_unicode(F.when(text.rlike(_NOT_PLAIN), text))
+    normalised = _normalise_unicode(F.when(_needs_python(text), text))
     return F.coalesce(normalised, F.regexp_replace(text, _PLAIN_CONTROLS, ""))
 
 
 def strip(text: Column) -> Column:
-    """Unicode whitespace off both ends."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Unicode whitespace off both ends (C3); skipped when both ends are visible ASCII."""
+    ends = F.ascii(text).between(33, 126) & F.ascii(F.substring(text, -1, 1)).between(33, 126)
+    return F.when(ends, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
+
+
+def tidy(text: Column) -> Column:
+    """``strip(fix_encoding(text))`` with one test that lets most text pass untouched."""
+    tidied = F.btrim(fix_encoding(text), F.lit(WHITESPACE))
+    return F.when(text.rlike(_UNTIDY), tidied).otherwise(text)
 
 
 def nullify(text: Column) -> Column:
     """NULL for the spellings people use for "nothing" (C4)."""
-    return F.when(~F.lower(text).isin(*NULL_SENTINELS), text)
+    nothing = (F.octet_length(text) <= _LONGEST_SENTINEL) & F.lower(text).isin(*NULL_SENTINELS)
+    return F.when(~nothing, text)
 
 
 def truncate(text: Column, name: str) -> Column:

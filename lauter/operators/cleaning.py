@@ -21,7 +21,7 @@ def clean(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     chosen = strings if columns is None else [c for c in strings if c in set(columns)]
     if not chosen:
         return df
-    trimmed = df.withColumns({c: text.strip(text.fix_encoding(F.col(f"`{c}`"))) for c in chosen})
+    trimmed = df.withColumns({c: text.tidy(F.col(f"`{c}`")) for c in chosen})
     return trimmed.withColumns(
         {c: text.truncate(text.nullify(F.col(f"`{c}`")), c) for c in chosen}
     )

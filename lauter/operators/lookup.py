@@ -50,7 +50,7 @@ def resolve_product(classified: DataFrame, products: DataFrame) -> DataFrame:
 def _reject_miss(joined: DataFrame, id_column: str, reason: str) -> DataFrame:
     miss = is_accepted() & F.col(id_column).isNull()
     return joined.withColumn(
-        ERRORS, F.when(miss, F.array(F.lit(reason))).otherwise(F.col(ERRORS))
+        ERRORS, F.when(miss, F.lit(reason)).otherwise(F.col(ERRORS))
     )
 
 

@@ -2,7 +2,7 @@
 
 A *field* of a raw record is a value plus the kind of value it was:
 
-* a table column ``f`` has the kind of its type (``string``, ``number``, ...),
+* a table column ``f`` has the kind of its type (``STRING``, ``NUMBER``, ...),
 * a JSON field is spread by ``sources.json_records.spread`` into a text column
   ``f`` and a column ``_kind_f``, whose NULL means that the key is absent.
 
@@ -76,7 +76,7 @@ def _text_field(
     default: Any = _REQUIRED,
 ) -> Field:
     def faults(value: Column, kind: Column, parsed: Column) -> list[tuple[str, Column]]:
-        found = [("not a string", kind != "string")]
+        found = [("not a string", kind != "STRING")]
         if max_length is not None:
             found.append((f"longer than {max_length}", F.length(value) > max_length))
         if valid is not None:
@@ -92,7 +92,7 @@ def _money_field(name: str, dtype: T.DecimalType, *, cents: bool, default: Any =
 
     def faults(value: Column, kind: Column, parsed: Column) -> list[tuple[str, Column]]:
         return [
-            ("invalid", (kind == "boolean") | parsed.isNull()),
+            ("invalid", (kind == "BOOLEAN") | parsed.isNull()),
             ("negative", parsed < 0),
             ("out_of_range", parsed.try_cast(dtype).isNull()),
         ]
@@ -108,7 +108,7 @@ def _money_field(name: str, dtype: T.DecimalType, *, cents: bool, default: Any =
 
 def _integer_field(name: str, *, minimum: int | None, dtype: T.IntegralType) -> Field:
     def parse(value: Column, kind: Column) -> Column:
-        flag = F.when(kind == "boolean", (value == "true").cast("bigint"))
+        flag = F.when(kind == "BOOLEAN", (value == "true").cast("bigint"))
         return F.coalesce(flag, coerce.to_integer(value))
 
     def faults(value: Column, kind: Column, parsed: Column) -> list[tuple[str, Column]]:
@@ -122,7 +122,7 @@ def _integer_field(name: str, *, minimum: int | None, dtype: T.IntegralType) ->
 
 def _timestamp_field(name: str) -> Field:
     def parse(value: Column, kind: Column) -> Column:
-        native = F.when(kind == "timestamp", value.try_cast("timestamp_ntz"))
+        native = F.when(kind == "TIMESTAMP", value.try_cast("timestamp_ntz"))
         return F.coalesce(native, coerce.to_timestamp(value))
 
     return Field(
@@ -210,14 +210,14 @@ ENTITIES = {
 
 def _kind_of(dtype: T.DataType) -> str:
     if isinstance(dtype, T.StringType):
-        return "string"
+        return "STRING"
     if isinstance(dtype, T.BooleanType):
-        return "boolean"
+        return "BOOLEAN"
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return "timestamp"
+        return "TIMESTAMP"
     if isinstance(dtype, T.NumericType):
-        return "number"
-    return "other"
+        return "NUMBER"
+    return "OTHER"
 
 
 def _spread_table(raw: DataFrame, names: list[str]) -> list[Column]:
@@ -288,13 +288,12 @@ def classify(
         ],
         *[F.col(f"_keep_{c}").alias(c) for c in keep],
         "_place",
-        F.array_compact(
-            F.array(
-                *[
-                    f.fault(F.col(f.name), F.col(f"{KIND}{f.name}"), F.col(f"_parsed_{f.name}"))
-                    for f in spec.fields
-                ]
-            )
+        F.concat_ws(
+            "; ",
+            *[
+                f.fault(F.col(f.name), F.col(f"{KIND}{f.name}"), F.col(f"_parsed_{f.name}"))
+                for f in spec.fields
+            ],
         ).alias(ERRORS),
         RECORD,
     )
@@ -312,11 +311,11 @@ def classify(
 
 
 def is_accepted() -> Column:
-    return F.size(ERRORS) == 0
+    return F.col(ERRORS) == ""
 
 
 def is_rejected() -> Column:
-    return F.size(ERRORS) > 0
+    return F.col(ERRORS) != ""
 
 
 def accepted(classified: DataFrame) -> DataFrame:
@@ -330,4 +329,4 @@ def rejected(classified: DataFrame) -> DataFrame:
 def reason(entity: str) -> Column:
     """One line per rejected record: ``customer validation: email: invalid; ...``."""
     label = ENTITIES[entity].label
-    return F.concat(F.lit(f"{label} validation: "), F.array_join(F.col(ERRORS), "; "))
+    return F.concat(F.lit(f"{label} validation: "), F.col(ERRORS))

@@ -20,28 +20,21 @@ _END = "end-of-record"
 
 
 def _kind(value: Column) -> Column:
-    """``string``, ``number``, ``boolean``, ``null``, ``object`` or ``array``;
-    NULL for an absent value."""
-    name = F.schema_of_variant(value)
-    return (
-        F.when(name == "STRING", "string")
-        .when(name == "BOOLEAN", "boolean")
-        .when(name == "VOID", "null")
-        .when(name.startswith("OBJECT"), "object")
-        .when(name.startswith("ARRAY"), "array")
-        .when(name.isNotNull(), "number")
-    )
+    """``STRING``, ``BOOLEAN``, ``VOID`` (null), ``OBJECT``, ``ARRAY`` or a number's
+    type; NULL for an absent value."""
+    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
 
 
-def _one_value(json: Column) -> Column:
-    """VARIANT of a text that is exactly one JSON value, else NULL.
+def _with_value(df: DataFrame, json: Column, out: str) -> DataFrame:
+    """Add ``out``: the VARIANT of a text that is exactly one JSON value, else NULL.
 
     The parser stops after the first complete value; a marker placed behind the
     text shows that it got to the end.
     """
     marked = F.try_parse_json(F.concat(F.lit("["), json, F.lit(f',"{_END}"]')))
-    complete = F.try_variant_get(marked, "$[1]", "string") == _END
-    return F.when(complete, F.try_variant_get(marked, "$[0]", "variant"))
+    complete = F.try_variant_get("_marked", "$[1]", "string") == _END
+    value = F.when(complete, F.try_variant_get("_marked", "$[0]", "variant"))
+    return df.withColumn("_marked", marked).withColumn(out, value).drop("_marked")
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -51,16 +44,12 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     ``malformed_json`` or ``not_an_object``; such lines are no records and do
     not count as failures. ``_record`` is the line's text.
     """
-    text = strip(F.col(column))
-    parsed = (
-        lines.withColumn(RECORD, text)
-        .where(F.col(RECORD) != "")
-        .withColumn(VARIANT, _one_value(F.col(RECORD)))
-    )
-    problem = F.when(F.col(VARIANT).isNull(), "malformed_json").when(
-        _kind(F.col(VARIANT)) != "object", "not_an_object"
+    text = lines.withColumn(RECORD, strip(F.col(column))).where(F.col(RECORD) != "")
+    parsed = _with_value(text, F.col(RECORD), VARIANT).withColumn("_kind", _kind(F.col(VARIANT)))
+    problem = F.when(F.col("_kind").isNull(), "malformed_json").when(
+        F.col("_kind") != "OBJECT", "not_an_object"
     )
-    return parsed.withColumn("problem", problem)
+    return parsed.withColumn("problem", problem).drop("_kind")
 
 
 def read_ndjson(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
@@ -98,7 +87,7 @@ def _explode_document(document: Column) -> tuple[Column, Column]:
 def _objects(df: DataFrame, items: Column, *others: str) -> DataFrame:
     """One row per object in ``items``; other values are dropped."""
     rows = df.select(*others, F.posexplode(items).alias("_index", VARIANT))
-    return rows.where(_kind(F.col(VARIANT)) == "object")
+    return rows.where(_kind(F.col(VARIANT)) == "OBJECT")
 
 
 def parse_documents(documents: DataFrame, column: str, *others: str) -> DataFrame:
@@ -142,15 +131,14 @@ def flatten_pages(
     payload is the records. Other shapes, and items that are not objects, yield nothing.
     """
     value, kind = F.col("_payload"), F.col("_payload_kind")
-    parsed = pages.withColumn("_payload", _one_value(F.col(payload)))
-    parsed = parsed.withColumn("_payload_kind", _kind(value))
-    items = F.when(kind == "array", value)
+    parsed = _with_value(pages, F.col(payload), "_payload").withColumn("_payload_kind", _kind(value))
+    items = F.when(kind == "ARRAY", value)
     following = F.lit(None).cast("string")
     if data_key:
-        items = items.when(kind == "object", F.try_variant_get(value, _path(data_key), "variant"))
+        items = items.when(kind == "OBJECT", F.try_variant_get(value, _path(data_key), "variant"))
         if next_key:
             link = F.try_variant_get(value, _path(next_key), "string")
-            following = F.when(kind == "object", F.when(link != "", link))
+            following = F.when((kind == "OBJECT") & (link != ""), link)
     others = [c for c in pages.columns if c != payload]
     listed = parsed.select(
         *others,
@@ -171,12 +159,13 @@ def spread(records: DataFrame, fields: Sequence[str] | str, variant: str = VARIA
     is NULL when the key is absent from that record.
     """
     names = ENTITIES[fields].field_names if isinstance(fields, str) else list(fields)
-    columns = []
+    columns, values = [], {}
     for name in names:
-        value = F.try_variant_get(F.col(variant), _path(name), "variant")
-        columns.append(F.try_variant_get(F.col(variant), _path(name), "string").alias(name))
+        values[f"_value_{name}"] = F.try_variant_get(F.col(variant), _path(name), "variant")
+        value = F.col(f"_value_{name}")
+        columns.append(F.try_variant_get(value, "$", "string").alias(name))
         columns.append(_kind(value).alias(f"{KIND}{name}"))
     internal = [c for c in (RECORD, POSITION) if c in records.columns]
-    return records.select(*internal, *columns)
+    return records.withColumns(values).select(*internal, *columns)
 
 
