@@ -300,11 +300,14 @@ def classify(
     record = F.col(RECORD)
     if not isinstance(judged.schema[RECORD].dataType, T.StringType):
         record = F.to_json(record, {"ignoreNullFields": "false"})
-    # Row numbers are added last: they break ties in input order, and a filter on
-    # _errors is not pushed below them, which would run all of the above twice.
+    # Row numbers are added last and break ties in input order. _errors depends on
+    # them so that a filter on it stays above: pushed down, it would run the text
+    # cleaning and every rule a second time, in one enormous expression.
+    row = F.monotonically_increasing_id()
     return judged.withColumns(
         {
-            POSITION: F.struct(F.col("_place"), F.monotonically_increasing_id()),
+            POSITION: F.struct(F.col("_place"), row),
+            ERRORS: F.when(row >= 0, F.col(ERRORS)),
             RECORD: F.when(is_rejected(), record),
         }
     ).drop("_place")

@@ -16,11 +16,30 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # accepted and rejected rows are written in one pass without sorting on the flag
     "spark.sql.maxConcurrentOutputFileWriters": "4",
+    # the JVM never compiles methods above 8000 bytes of code; a stage whose fused
+    # method would be larger runs operator by operator, which is far faster
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # a repeated JSON key keeps its last value instead of making the line malformed
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
+# Settings that must be given when a session is built.
+BUILD_SETTINGS = {
+    # plans here are made of many small expressions; recording the Python call
+    # site of each one doubles the time to build them
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
+def build(builder: SparkSession.Builder | None = None) -> SparkSession:
+    """A session with all settings of this module."""
+    builder = builder or SparkSession.builder
+    for key, value in {**BUILD_SETTINGS, **SETTINGS}.items():
+        builder = builder.config(key, value)
+    return configure(builder.getOrCreate())
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply :data:`SETTINGS` to a running session and return it."""
     for key, value in SETTINGS.items():

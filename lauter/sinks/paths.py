@@ -28,6 +28,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(location, True)
 
 
+def make(spark: SparkSession, path: str) -> None:
+    """Create a folder and its parents if they do not exist."""
+    fs, location = _open(spark, path)
+    fs.mkdirs(location)
+
+
 def touch(spark: SparkSession, path: str) -> bool:
     """Create an empty file; False if it is already there."""
     fs, location = _open(spark, path)

@@ -33,12 +33,9 @@ class Warehouse:
     # -- definition ----------------------------------------------------------
 
     def create(self) -> Warehouse:
-        """Create the tables that do not exist yet (K5)."""
-        for table in TABLES.values():
-            if not paths.exists(self.spark, self.path(table.name)):
-                empty = self.spark.createDataFrame([], table.schema)
-                first = "v=00000000" if table.keyed else "load_id=none"
-                empty.write.mode("overwrite").parquet(self.path(table.name, first))
+        """Create the tables that do not exist yet (K5); a new table is an empty folder."""
+        for name in TABLES:
+            paths.make(self.spark, self.path(name))
         return self
 
     def create_views(self, prefix: str = "") -> None:
@@ -59,8 +56,10 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         table = TABLES[name]
         if table.keyed:
-            newest = self._versions(table)[-1]
-            return self.spark.read.schema(table.schema).parquet(self.path(name, newest))
+            versions = self._versions(table)
+            if not versions:
+                return _no_rows(self.spark, table.schema)
+            return self.spark.read.schema(table.schema).parquet(self.path(name, versions[-1]))
         loads = T.StructType([*table.schema.fields, T.StructField("load_id", T.StringType())])
         return self.spark.read.schema(loads).parquet(self.path(name)).drop("load_id")
 
@@ -99,7 +98,7 @@ class Warehouse:
         count is observed in the writing stage, where a re-run task counts once.
         """
         table = TABLES[name]
-        current = self._versions(table)[-1]
+        current = (self._versions(table) or ["v=0"])[-1]
         incoming = self._stored(table, rows)
         merged = merge_rows(
             self.table(name), incoming, table.key, table.updates, table.sticky
@@ -128,3 +127,8 @@ class Warehouse:
         for old in self._versions(table)[:-VERSIONS_KEPT]:
             paths.delete(self.spark, self.path(table.name, old))
 
+
+def _no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty table that the optimizer knows to be empty."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).where("false").select(*columns)

@@ -104,7 +104,10 @@ def parse_documents(documents: DataFrame, column: str, *others: str) -> DataFram
 
 
 def read_json(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Records of JSON document files as ``record``, ``_record``, ``_pos``."""
+    """Records of JSON document files as ``record``, ``_record``, ``_pos``.
+
+    A malformed document fails the job; a file of no bytes is no document.
+    """
     files = spark.read.format("binaryFile").load(path)
     documents = files.select(
         F.decode("content", encoding).alias("value"),

@@ -4,34 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lauter.operators.rules import POSITION
 
 
-def file_position() -> Column:
-    """Where a row's file split starts; rows of one split keep their order."""
-    return F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
+def with_position(df: DataFrame) -> DataFrame:
+    """Add ``_pos`` to a frame read from files: file, split, and row in reading order.
 
+    Rows keep their place even if the frame is repartitioned afterwards. In a
+    stream the row number is left to the micro-batch.
+    """
+    place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
+    if not df.isStreaming:
+        place.append(F.monotonically_increasing_id())
+    return df.select(*df.columns, F.struct(*place).alias(POSITION))
 
-def with_position(df: DataFrame) -> DataFrame:
-    """Add ``_pos`` to a frame read from files."""
-    return df.select(*df.columns, file_position().alias(POSITION))
+
+def _largest_file(spark: SparkSession, path: str) -> int:
+    files = spark.read.format("binaryFile").load(path).select("length")
+    return files.agg(F.max("length")).first()[0] or 0
 
 
-def _must_read_whole_files(spark: SparkSession, path: str, encoding: str) -> bool:
-    """Whether a CSV file must be parsed by one task because a quoted field may span lines.
+def _split_size(spark: SparkSession) -> int:
+    return _bytes(spark.sql("SET spark.sql.files.maxPartitionBytes").first()["value"])
 
-    Files below the split size are one task anyway. Otherwise the answer is exact
-    for quote-doubling CSV: a line with an even number of quotes ends outside any
-    field, so if all lines are even, no field spans lines and splits are safe.
+
+def _fields_span_lines(spark: SparkSession, path: str, encoding: str) -> bool:
+    """Whether a quoted field may hold a line break.
+
+    Exact for quote-doubling CSV: a line with an even number of quotes ends
+    outside any field, so if all lines are even, no field spans lines.
     """
-    files = spark.read.format("binaryFile").load(path).select("length")
-    largest = files.agg(F.max("length")).first()[0] or 0
-    split_size = spark.sql("SET spark.sql.files.maxPartitionBytes").first()["value"]
-    if largest <= _bytes(split_size):
-        return True
     if encoding.upper() not in ("UTF-8", "US-ASCII", "ISO-8859-1"):
         return True
     quotes = F.length("value") - F.length(F.translate("value", '"', ""))
@@ -56,12 +61,15 @@ def read_csv(
 ) -> DataFrame:
     """A header CSV with every column a string; a BOM is dropped.
 
-    ``multiline=None`` finds out whether quoted fields span lines and lets Spark
-    split large files when none does.
+    A field may span lines, and then one task must parse the whole file. For
+    files above the split size, ``multiline=None`` first looks whether any field
+    does: if not, Spark splits the files; if so, the rows are spread over the
+    cluster behind the parser, keeping their ``_pos``.
     """
+    large = multiline is None and _largest_file(spark, path) > _split_size(spark)
     if multiline is None:
-        multiline = _must_read_whole_files(spark, path, encoding)
-    return with_position(
+        multiline = not large or _fields_span_lines(spark, path, encoding)
+    rows = with_position(
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("sep", delimiter)
@@ -70,6 +78,7 @@ def read_csv(
         .option("multiLine", multiline)
         .csv(path)
     )
+    return rows.repartition(spark.sparkContext.defaultParallelism) if large and multiline else rows
 
 
 def read_parquet(
