@@ -64,7 +64,8 @@ def read_csv(
     A field may span lines, and then one task must parse the whole file. For
     files above the split size, ``multiline=None`` first looks whether any field
     does: if not, Spark splits the files; if so, the rows are spread over the
-    cluster behind the parser, keeping their ``_pos``.
+    cluster behind the parser, keeping their ``_pos``. Pass True or False to skip
+    both looks.
     """
     large = multiline is None and _largest_file(spark, path) > _split_size(spark)
     if multiline is None:
