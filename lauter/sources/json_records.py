@@ -52,22 +52,29 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     return parsed.withColumn("problem", problem).drop("_kind")
 
 
+def line_records(lines: DataFrame) -> DataFrame:
+    """``record``, ``_record`` and ``_pos`` of the lines that hold an object.
+
+    Exploding a one-item array instead of filtering on ``problem`` keeps the parse
+    out of a filter condition, so that each line is parsed once.
+    """
+    rows = _objects(parse_lines(lines), F.array(VARIANT), RECORD, POSITION)
+    return rows.select(VARIANT, RECORD, POSITION)
+
+
 def read_ndjson(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """Every object of a newline-delimited file as ``record``, ``_record``, ``_pos``.
 
     The scan is splittable; use :func:`parse_lines` to see the skipped lines.
     """
     reader = spark.read
-    if encoding.upper() != "UTF-8":
+    if encoding.upper() == "UTF-8":
+        lines = reader.text(path)
+    else:
         # the text source decodes UTF-8 only; CSV without separators decodes any
         reader = reader.option("encoding", encoding).option("sep", "\x01").option("quote", "")
-        lines = with_position(reader.schema("value string").csv(path))
-    else:
-        lines = with_position(reader.text(path))
-    # exploding a one-item array keeps the line parse out of the filter, so it runs once
-    parsed = parse_lines(lines)
-    rows = _objects(parsed, F.array(VARIANT), RECORD, POSITION)
-    return rows.select(VARIANT, RECORD, POSITION)
+        lines = reader.schema("value string").csv(path)
+    return line_records(with_position(lines))
 
 
 def _explode_document(document: Column) -> tuple[Column, Column]:

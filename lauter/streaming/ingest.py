@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lauter.plans.load import Run
 from lauter.sinks.warehouse import Warehouse
-from lauter.sources.json_records import POSITION, RECORD, VARIANT, parse_lines
+from lauter.sources.json_records import line_records
 from lauter.sources.tables import with_position
 
 
@@ -44,8 +44,7 @@ def stream_csv(
 def stream_ndjson(spark: SparkSession, path: str, *, files_per_batch: int = 1) -> DataFrame:
     """New newline-delimited JSON files of a folder, as VARIANT records."""
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
-    parsed = parse_lines(with_position(lines))
-    return parsed.where("problem IS NULL").select(VARIANT, RECORD, POSITION)
+    return line_records(with_position(lines))
 
 
 def stream_entity(

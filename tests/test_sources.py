@@ -71,6 +71,8 @@ def test_ndjson(spark, tmp_path):
     lines = ['{"k": 1}', "", "MALFORMED", "[1]", "7", '  {"k": 2}  ', '{"k": 3} x', '{"k": 4}, {"k": 5}']
     path = write(tmp_path / "a.ndjson", "\n".join(lines))
     assert [r[1] for r in read_ndjson(spark, path).collect()] == ['{"k": 1}', '{"k": 2}']
+    latin = write(tmp_path / "l.ndjson", '{"k": "é"}\nBROKEN\n', "latin-1")
+    assert [r[1] for r in read_ndjson(spark, latin, "ISO-8859-1").collect()] == ['{"k": "é"}']
     frame = spark.createDataFrame([(line,) for line in lines], "value string")
     problems = [r.problem for r in parse_lines(frame).collect() if r.problem]
     assert sorted(problems) == ["malformed_json"] * 3 + ["not_an_object"] * 2
