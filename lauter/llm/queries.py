@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lauter.llm import decontaminate
 from lauter.llm.common import table
 from lauter.llm.exact_dedup import exact_dedup
+from lauter.llm.mixing import mix
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,3 +38,46 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id,
        sha256(t) AS text_sha256
 FROM d
 """
+
+
+@query
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents")).drop("source", "copies")
+
+
+@query
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+# windows joined to the documents' windows of the same length
+ORACLES["op8_decontamination"] = r"""
+WITH w AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(ws), 13) AS n, array_to_string(ws[i : i + least(len(ws), 13) - 1], ' ') AS win
+  FROM (SELECT item_id, ws, unnest(range(1, 2 + greatest(len(ws) - 13, 0))) AS i FROM w WHERE len(ws) > 0)),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM documents),
+p AS (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM d),
+m AS (
+  SELECT p.r, p.i, k.n, win.item_id
+  FROM p, (SELECT DISTINCT n FROM win) k, win
+  WHERE p.i + k.n - 1 <= len(p.ws) AND win.n = k.n AND win.win = array_to_string(p.ws[p.i : p.i + k.n - 1], ' ')),
+hit AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS j FROM m) GROUP BY r),
+its AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
+"""
