@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lauter.llm import decontaminate
-from lauter.llm.common import table
+from lauter.llm.common import crc_mod, table
 from lauter.llm.exact_dedup import exact_dedup
+from lauter.llm.language import label_languages, learnable
 from lauter.llm.mixing import mix
+from lauter.llm.tokens import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,6 +43,11 @@ FROM d
 """
 
 
+@query
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).drop("source", "copies")
@@ -81,3 +89,11 @@ SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
 """
+
+
+@query
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = label_languages(docs, learnable(docs, "doc_id", 4, 2))
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
