@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lauter.llm import decontaminate
+from lauter.llm import decontaminate, toxicity
 from lauter.llm.common import crc_mod, table
 from lauter.llm.exact_dedup import exact_dedup
 from lauter.llm.language import label_languages, learnable
@@ -48,6 +48,14 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    labels = toxicity.learnable(table(spark, folder, "labels"))
+    found = toxicity.toxicity(table(spark, folder, "documents"), labels)
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).drop("source", "copies")
