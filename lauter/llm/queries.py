@@ -14,6 +14,8 @@ from lauter.llm.exact_dedup import exact_dedup
 from lauter.llm.language import label_languages, learnable
 from lauter.llm.mixing import mix
 from lauter.llm.tokens import token_counts
+from lauter.llm.warc import read_warc, write_warc
+from lauter.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,6 +45,31 @@ FROM d
 """
 
 
+@query
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    write_warc(table(spark, folder, "pages"), path)
+    return read_warc(spark, path).drop("url", "payload")
+
+
+# base32 of the digest's hex digits: 40 of them are 32 characters, 5 digits are 4
+ORACLES["op2_warc"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS hex FROM pages),
+f AS (
+  SELECT page_id, b, hex, min(page_id) OVER (PARTITION BY hex, octet_length(b)) AS first,
+         row_number() OVER (PARTITION BY hex, octet_length(b) ORDER BY page_id) AS nth FROM p)
+SELECT page_id, octet_length(b) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + CAST((('0x' || substr(hex, 1 + 5 * CAST(i // 4 AS INT), 5))::INT >> (15 - 5 * CAST(i % 4 AS INT))) & 31 AS INT), 1)), '')
+         AS payload_digest,
+       CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN nth > 1 THEN first END AS refers_to
+FROM f
+"""
+
+
 @query
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
