@@ -13,6 +13,7 @@ from lauter.llm.common import crc_mod, table
 from lauter.llm.exact_dedup import exact_dedup
 from lauter.llm.language import label_languages, learnable
 from lauter.llm.mixing import mix
+from lauter.llm.near_dedup import near_duplicates
 from lauter.llm.tokens import token_counts
 from lauter.llm.warc import read_warc, write_warc
 from lauter.session import scratch_path
@@ -88,6 +89,11 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).drop("source", "copies")
 
 
+@query
+def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents")).drop("key")
+
+
 @query
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
