@@ -14,6 +14,7 @@ from lauter.llm.exact_dedup import exact_dedup
 from lauter.llm.language import label_languages, learnable
 from lauter.llm.mixing import mix
 from lauter.llm.near_dedup import near_duplicates
+from lauter.llm.suffix_dedup import remove_repeats
 from lauter.llm.tokens import token_counts
 from lauter.llm.warc import read_warc, write_warc
 from lauter.session import scratch_path
@@ -132,6 +133,11 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
 """
 
 
+@query
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents")).drop("spans")
+
+
 @query
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
