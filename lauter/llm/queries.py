@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lauter.llm import decontaminate, toxicity
 from lauter.llm.common import crc_mod, table
 from lauter.llm.exact_dedup import exact_dedup
+from lauter.llm.html_text import extract
 from lauter.llm.language import label_languages, learnable
 from lauter.llm.mixing import mix
 from lauter.llm.near_dedup import near_duplicates
@@ -77,6 +78,11 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(table(spark, folder, "pages"))
+
+
 @query
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     labels = toxicity.learnable(table(spark, folder, "labels"))
