@@ -7,19 +7,49 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lauter.llm.common import table, written
+from lauter.llm.decontaminate import drop_contaminated
 from lauter.llm.exact_dedup import keep_first_copies
+from lauter.llm.mixing import take_mix
+from lauter.llm.near_dedup import keep_one_of_each
+from lauter.llm.toxicity import drop_toxic, learnable
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxic_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that are predicted toxic go."""
+    return drop_toxic(docs, learnable(table(spark, folder, "labels")))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of equal texts, one document stays."""
     return keep_first_copies(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("exact dedup", exact_copies)]
+def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Of each group of near-duplicates, one document stays."""
+    return keep_one_of_each(docs)
+
+
+def contaminated_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that hold passages of the benchmark go."""
+    return drop_contaminated(docs, table(spark, folder, "benchmark"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The documents that the mix takes, and how often."""
+    return take_mix(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxic_documents),
+    ("exact dedup", exact_copies),
+    ("near dedup", near_copies),
+    ("decontamination", contaminated_documents),
+    ("mixing", source_mix),
+]
 
-# language-model scores, sketches and sums over budgets have no SQL form
+# nearest neighbours, sketches and sums over budgets have no SQL form
 ORACLE_SQL: str | None = None
 
 

@@ -136,18 +136,24 @@ def _plan(group: pd.DataFrame) -> pd.DataFrame:
     return group.assign(base=base, extra=extra)[[c.split()[0] for c in _PLAN.split(", ")]]
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, seed: int = SEED) -> DataFrame:
+def mix(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *,
+    seed: int = SEED, carry: bool = False,
+) -> DataFrame:
     """``doc_id, source, size, source_size, target, taken, copies``, one row per input row.
 
+    With ``carry`` also ``row``, the whole input row as a struct.
+
     Size is the number of runs of non-space characters, 0 for null text. Each document is
     taken 0, 1 or 2 times; documents of size 0 add nothing either way. Null is a source of
     its own. Which documents are taken depends on ``seed`` and the id alone, so reruns
     agree; repeated rows have equal chances. An empty table gives no rows.
     """
     size = F.regexp_count(text_or_empty(F.col(text_col)), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    whole_row = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if carry else []
     rows = written(
         docs.select(
-            F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size")
+            F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), *whole_row
         ),
         "sizes",
     )
@@ -183,5 +189,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     chosen = clear.unionByName(at_edge)
     copies = F.col("base") + F.col("more")
     return chosen.select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies")
-    )
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"),
+        *(["row"] if carry else []),
+    )
+
+
+_MIXED = ("size", "source_size", "target", "taken", "copies")
+
+
+def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, with their columns and those of the mix.
+
+    ``copies`` says how often a row is taken. Columns named as those of the mix give way.
+    """
+    own = [c for c in docs.columns if c not in _MIXED]
+    taken = mix(docs, id_col, text_col, source_col, seed=seed, carry=True).where("copies > 0")
+    return taken.select(*(F.col("row").getField(c).alias(c) for c in own), *_MIXED)
