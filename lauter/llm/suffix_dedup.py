@@ -267,8 +267,8 @@ def _anchored(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _contexts(texts: DataFrame, length: int) -> DataFrame:
-    """``key, lo, h, a, d, ctx``: for each chosen anchor its windows' bytes, ``a`` the anchor's
-    place in them, ``d`` their digest, ``lo`` where they begin."""
+    """``key, lo, h, a, d, ctx``: for each anchor with a hash of ``hs`` its windows' bytes, ``a``
+    the anchor's place in them, ``d`` their digest, ``lo`` where they begin."""
     schema = pa.schema([
         ("key", pa.binary()), ("lo", pa.int64()), ("h", pa.int64()), ("a", pa.int32()), ("d", pa.binary()), ("ctx", pa.binary()),
     ])
@@ -276,11 +276,14 @@ def _contexts(texts: DataFrame, length: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for key, text, marks in zip(*batch.columns, strict=True):
+            for key, text, *marks in zip(*batch.columns, strict=True):
                 key, text = key.as_py(), text.as_py()
-                for m in marks.as_py():
-                    ctx = text[m["f"] : m["l"] + length]
-                    rows.append((key, m["f"], m["h"], m["p"] - m["f"], digest(ctx), ctx))
+                hs, h, p, f = (m.values.to_numpy() for m in marks)
+                last = np.append(f[1:] - 1, len(text) - length)
+                some = np.isin(h, hs)
+                for own, place, lo, hi in zip(h[some].tolist(), p[some].tolist(), f[some].tolist(), last[some].tolist(), strict=True):
+                    ctx = text[lo : hi + length]
+                    rows.append((key, lo, own, place - lo, digest(ctx), ctx))
                     if len(rows) == 5_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
                         rows = []
@@ -356,25 +359,21 @@ def _pieces(contexts: DataFrame, piece: int, length: int) -> DataFrame:
 
 def _repeated_windows(items: DataFrame, length: int, hot: int) -> DataFrame:
     """``h, d, shift, runs`` for every context (anchor hash, digest) with repeated windows."""
-    counts = items.groupBy("h", "d").agg(F.count("*").alias("n"))
-    kinds = counts.groupBy("h").agg(F.count("*").alias("kinds"))
+    # copies are combined before the shuffle; ``a`` follows from ``ctx``
+    distinct = written(items.groupBy("h", "d", "a", "ctx").agg(F.count("*").alias("n")), "distinct-contexts")
+    kinds = distinct.groupBy("h").agg(F.count("*").alias("kinds"))
     several = written(kinds.where("kinds > 1"), "anchors")
     # contexts that are all the same are repeated as a whole
-    windows = items.select("h", "d", F.octet_length("ctx").alias("bytes")).groupBy("h", "d").agg(
-        F.count("*").alias("n"), F.max("bytes").alias("bytes")
-    )
-    same = windows.where("n > 1").select(
+    same = distinct.where("n > 1").select(
         "h", "d", F.lit(0).alias("shift"),
-        F.array(F.struct(F.lit(0).alias("i"), (F.col("bytes") - length).cast("int").alias("j"))).cast(_RUNS).alias("runs"),
+        F.array(F.struct(F.lit(0).alias("i"), (F.octet_length("ctx") - length).cast("int").alias("j"))).cast(_RUNS).alias("runs"),
     )
     found = [same]
-    level = items.join(several.where(F.col("kinds") <= hot).select("h"), "h")
-    level = level.groupBy("h", "d", "a", "ctx").agg(F.count("*").alias("n"))
+    level = distinct.join(several.where(F.col("kinds") <= hot).select("h"), "h")
     level = level.select(F.col("h").cast("string").cast("binary").alias("g"), "d", F.lit(0).alias("shift"), "a", "n", "ctx")
     found.append(_named(level, _judge(level, length)))
-    rest = items.join(several.where(F.col("kinds") > hot).select("h"), "h")
+    rest = distinct.join(several.where(F.col("kinds") > hot).select("h"), "h")
     if not several.where(F.col("kinds") > hot).isEmpty():
-        rest = rest.groupBy("h", "d", "a", "ctx").agg(F.count("*").alias("n"))
         rest = rest.select(F.col("h").cast("string").cast("binary").alias("g"), "d", F.lit(0).alias("shift"), "a", "n", "ctx", "h")
         for piece in PIECES:
             rest = _pieces(rest, piece, length)
@@ -424,25 +423,24 @@ def remove_repeats(
         F.min("doc_id").alias("i"), F.first(F.struct("h", "p", "f")).alias("anchors"),
     )
     one = written(texts_of.where(F.col("n_bytes") >= length), "texts")
-    at = one.select(
-        "key", "i", "n_bytes", F.posexplode(F.arrays_zip("anchors.h", "anchors.p", "anchors.f")).alias("nth", "m"), "anchors.f"
-    )
-    last = F.coalesce(F.expr("try_element_at(f, nth + 2)") - 1, (F.col("n_bytes") - length).cast("int"))
-    at = at.select("key", "i", F.col("m.h").alias("h"), F.col("m.p").alias("p"), F.col("m.f").alias("f"), last.alias("l"))
-    often = at.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    marks = at.join(often, "h").groupBy("key", "i").agg(F.collect_list(F.struct("h", "p", "f", "l")).alias("marks"))
+    often = one.select(F.explode("anchors.h").alias("h")).groupBy("h").agg(F.count("*").alias("n"))
+    often = written(often.where("n > 1").select("h"), "often")
+    # a hash that one text holds many times is one row of it
+    pairs = one.select("key", F.explode(F.array_distinct("anchors.h")).alias("h"))
+    some = pairs.join(often, "h").groupBy("key").agg(F.collect_list("h").alias("hs"))
+    marks = one.join(some, "key").select("key", "i", "hs", "anchors.h", "anchors.p", "anchors.f")
 
     def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, text, marks = batch.columns
+            key, text, *marks = batch.columns
             text = text.cast(pa.binary()).fill_null(b"")
             # a repeated id may carry other texts
             own = [digest(t.as_py()) == k.as_py() for t, k in zip(text, key, strict=True)]
-            found = pa.RecordBatch.from_arrays([key, text, marks], names=["key", "t", "marks"])
+            found = pa.RecordBatch.from_arrays([key, text, *marks], names=batch.schema.names)
             yield found.filter(pa.array(own, pa.bool_()))
 
-    held = plain.join(marks, F.col("doc_id").eqNullSafe(F.col("i"))).select("key", "t", "marks")
-    held = held.mapInArrow(same, "key binary, t binary, marks array<struct<h:long,p:int,f:int,l:int>>")
+    held = plain.join(marks, F.col("doc_id").eqNullSafe(F.col("i"))).select("key", "t", "hs", "h", "p", "f")
+    held = held.mapInArrow(same, "key binary, t binary, hs array<long>, h array<long>, p array<int>, f array<int>")
     texts = written(held, "marked-texts")
     items = written(_contexts(texts, length), "contexts")
     repeats = _repeated_windows(items, length, hot)
