@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from lauter.operators.rules import ERRORS, POSITION, is_accepted
 
-_SPREAD = 4096
 UNKNOWN_CUSTOMER = "Unknown customer email"
 UNKNOWN_PRODUCT = "Unknown product sku"
 
@@ -21,7 +20,7 @@ def attach_id(df: DataFrame, key: Column, parent: DataFrame, parent_key: str, ou
     without a key match nothing; they get throw-away keys so that they spread
     over all partitions instead of meeting in one.
     """
-    nobody = F.concat(F.lit("\x01"), F.pmod(F.xxhash64(POSITION), F.lit(_SPREAD)))
+    nobody = F.concat(F.lit("\x01"), F.xxhash64(POSITION).cast("string"))
     ids = parent.select(F.col(parent_key).alias("_parent_key"), F.col("id").alias(out))
     keyed = df.withColumn("_key", F.coalesce(key, nobody))
     joined = keyed.join(ids, F.col("_key") == F.col("_parent_key"), "left")

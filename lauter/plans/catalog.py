@@ -100,7 +100,7 @@ def q5_top_products(spark: SparkSession, folder: str) -> DataFrame:
 # -- cleaning ----------------------------------------------------------------
 
 # the texts the cleaning queries start from
-DECOMPOSED = "CASE WHEN doc_id % 2 = 0 THEN replace(text, 'é', 'é') ELSE text END"
+DECOMPOSED = "CASE WHEN doc_id % 2 = 0 THEN replace(text, '\u00e9', 'e\u0301') ELSE text END"
 WITH_CONTROLS = "concat(' \t', replace(text, ' ', ' \x01‍\x7f'), ' \n　')"
 SENTINEL = (
     "CASE doc_id % 8 WHEN 0 THEN 'N/A' WHEN 1 THEN 'NULL' WHEN 2 THEN 'none' WHEN 3 THEN '--' "
