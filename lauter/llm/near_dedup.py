@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lauter.llm.common import written
@@ -271,29 +271,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # buckets of several classes
     mixed_up = _mixed(members.join(state, "key"), ["band", "value"])
     few = _across(mixed_up.where(F.col("held") <= small), ["band", "value"])
-    many = written(_finer(mixed_up.where(F.col("held") > small), texts_of), "finer")
     cell = ["band", "value", "other", "second"]
-    finer = _mixed(many, cell)
-    more = few.unionByName(_stars(finer, cell)).unionByName(_across(finer.where(F.col("held") <= small), cell))
+    many = written(_finer(mixed_up.where(F.col("held") > small)), "cells")
+    finer = written(_mixed(many, cell), "finer")
+    stars = finer.where("key <> hub").select(*_pair(F.col("key"), F.col("hub")))
+    more = few.unionByName(stars).unionByName(_across(finer.where(F.col("held") <= small), cell))
     more = written(more.distinct().join(pairs, ["left", "right"], "left_anti"), "pairs")
     again = written(_verified(more, texts).unionByName(checked), "verified")
     return _classes(rows, components(nodes, again.where("link")))
 
 
+def _hub() -> Column:
+    """The member that shares most buckets."""
+    return F.min(F.struct(-F.col("shared"), F.xxhash64("key"), "key"))["key"].alias("hub")
+
+
 def _stars(members: DataFrame, cell: list[str]) -> DataFrame:
-    """Each member of a cell with the cell's hub, the member that shares most buckets."""
-    order = F.struct(-F.col("shared"), F.xxhash64("key"), "key")
-    hubs = members.groupBy(*cell).agg(F.min(order)["key"].alias("hub"))
+    """Each member of a cell with the cell's hub."""
+    hubs = members.groupBy(*cell).agg(_hub())
     pairs = members.select(*cell, "key").join(hubs, cell).where("key <> hub")
     return pairs.select(*_pair(F.col("key"), F.col("hub")))
 
 
 def _mixed(members: DataFrame, cell: list[str]) -> DataFrame:
-    """The members of cells with several classes, with ``held``, the size of the cell."""
+    """The members of cells with several classes, with the cell's size ``held`` and its ``hub``."""
     counts = members.groupBy(*cell).agg(
-        F.count("*").alias("held"), F.min("component").alias("low"), F.max("component").alias("high")
+        F.count("*").alias("held"), F.min("component").alias("low"), F.max("component").alias("high"), _hub()
     )
-    mixed_up = counts.where("low <> high").select(*cell, "held")
+    mixed_up = counts.where("low <> high").select(*cell, "held", "hub")
     return members.drop("held").join(mixed_up, cell)
 
 
@@ -305,11 +310,23 @@ def _across(members: DataFrame, cell: list[str]) -> DataFrame:
     return pairs.select(F.col("a").alias("left"), F.col("b").alias("right"))
 
 
-def _finer(members: DataFrame, bands: DataFrame) -> DataFrame:
-    """Cells of texts that agree in two values, for the members of large buckets."""
-    rows = members.select("band", "value", "key", "component", "shared").join(bands, "key")
-    rows = rows.select("*", F.posexplode("bands").alias("other", "second")).where("other <> band")
-    return rows.drop("bands")
+def _finer(members: DataFrame) -> DataFrame:
+    """Cells of texts that agree in two values, from the members of large buckets.
+
+    Both values are those of large buckets of several classes, each two of them once: texts
+    that also share a small bucket are compared there, and those that share a bucket of one
+    class are of one class already. A text has at most ``BANDS`` values.
+    """
+    owned = members.groupBy("key", "component", "shared").agg(
+        F.array_sort(F.collect_list(F.struct("band", "value"))).alias("own")
+    )
+    first = owned.select("*", F.posexplode("own").alias("at", "one"))
+    both = first.select("*", F.explode(F.slice("own", F.col("at") + 2, BANDS)).alias("two"))
+    return both.select(
+        F.col("one.band").alias("band"), F.col("one.value").alias("value"),
+        F.col("two.band").alias("other"), F.col("two.value").alias("second"),
+        "key", "component", "shared",
+    )
 
 
 def _of_key(held: DataFrame) -> DataFrame:
