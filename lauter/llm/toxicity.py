@@ -106,20 +106,31 @@ class BlockMaxIndex:
         bounds = weights @ self.max[terms]
         best: list[tuple[float, int]] = []
         for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < best[-1][0] - 1e-12:
+            least = best[-1][0] if len(best) == k else 0.0
+            if bounds[b] <= 0 or bounds[b] < least - 1e-12:
                 break
-            scores = np.zeros(self.block)
-            cells = b * self.n_terms + terms
-            at = np.searchsorted(self.cells, cells)
-            for i, (cell, place) in enumerate(zip(cells, at, strict=True)):
-                if place < len(self.cells) and self.cells[place] == cell:
-                    span = slice(self.first[place], self.first[place + 1])
-                    scores[self.rows[span] - b * self.block] += weights[i] * self.weights[span]
-            some = np.flatnonzero(scores > 0)
-            best += [(float(scores[r]), int(r + b * self.block)) for r in some]
-            best = sorted(best, key=lambda x: (-round(x[0], 12), x[1]))[:k]
+            scores = self._block_scores(b, terms, weights)
+            # a little below the k-th best, so that ties are told apart by number
+            some = np.flatnonzero((scores > 0) & (scores >= least - 1e-11))
+            if len(some):
+                best += [(float(scores[r]), int(r + b * self.block)) for r in some]
+                best = sorted(best, key=lambda x: (-round(x[0], 12), x[1]))[:k]
         return best
 
+    def _block_scores(self, b: int, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The cosines with the examples of one block, from the postings of all terms at once."""
+        cells = b * self.n_terms + terms
+        at = np.minimum(np.searchsorted(self.cells, cells), len(self.cells) - 1)
+        found = self.cells[at] == cells
+        at, weights = at[found], weights[found]
+        starts = self.first[at]
+        lengths = self.first[at + 1] - starts
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        postings = np.arange(total) + np.repeat(starts - ends + lengths, lengths)
+        products = np.repeat(weights, lengths) * self.weights[postings]
+        return np.bincount(self.rows[postings] - b * self.block, products, self.block)
+
 
 @dataclass
 class Model:
