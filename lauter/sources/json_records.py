@@ -16,7 +16,8 @@ from lauter.operators.rules import ENTITIES, KIND, POSITION, RECORD
 from lauter.sources.tables import with_position
 
 VARIANT = "record"
-_END = "end-of-record"
+# no text of fewer bytes is too large for a VARIANT
+SURE_BYTES = 8 << 20
 
 
 def _kind(value: Column) -> Column:
@@ -29,10 +30,12 @@ def _with_value(df: DataFrame, json: Column, out: str) -> DataFrame:
     """Add ``out``: the VARIANT of a text that is exactly one JSON value, else NULL.
 
     The parser stops after the first complete value; a marker placed behind the
-    text shows that it got to the end.
+    text shows that it got to the end. It is a hash of the text, which the text
+    cannot hold itself.
     """
-    marked = F.try_parse_json(F.concat(F.lit("["), json, F.lit(f',"{_END}"]')))
-    complete = F.try_variant_get("_marked", "$[1]", "string") == _END
+    end = F.xxhash64(json).cast("string")
+    marked = F.try_parse_json(F.concat(F.lit("["), json, F.lit(',"'), end, F.lit('"]')))
+    complete = F.try_variant_get("_marked", "$[1]", "string") == end
     value = F.when(complete, F.try_variant_get("_marked", "$[0]", "variant"))
     return df.withColumn("_marked", marked).withColumn(out, value).drop("_marked")
 
@@ -42,11 +45,15 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
     Blank lines vanish. ``problem`` is NULL for an object, otherwise
     ``malformed_json`` or ``not_an_object``; such lines are no records and do
-    not count as failures. ``_record`` is the line's text.
+    not count as failures. A text that looks like an object but does not fit a VARIANT
+    is ``too_large``. ``_record`` is the line's text.
     """
     text = lines.withColumn(RECORD, strip(F.col(column))).where(F.col(RECORD) != "")
     parsed = _with_value(text, F.col(RECORD), VARIANT).withColumn("_kind", _kind(F.col(VARIANT)))
-    problem = F.when(F.col("_kind").isNull(), "malformed_json").when(
+    large = F.octet_length(RECORD) > SURE_BYTES
+    objectlike = F.col(RECORD).startswith("{") & F.col(RECORD).endswith("}")
+    too_large = F.col("_kind").isNull() & large & objectlike
+    problem = F.when(too_large, "too_large").when(F.col("_kind").isNull(), "malformed_json").when(
         F.col("_kind") != "OBJECT", "not_an_object"
     )
     return parsed.withColumn("problem", problem).drop("_kind")
@@ -55,10 +62,13 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 def line_records(lines: DataFrame) -> DataFrame:
     """``record``, ``_record`` and ``_pos`` of the lines that hold an object.
 
-    Exploding a one-item array instead of filtering on ``problem`` keeps the parse
+    A line too large for a VARIANT is a record without fields: rules reject it, so
+    that it is counted and its text kept with the dead letters. Exploding a one-item array instead of filtering on ``problem`` keeps the parse
     out of a filter condition, so that each line is parsed once.
     """
-    rows = _objects(parse_lines(lines), F.array(VARIANT), RECORD, POSITION)
+    nothing = F.when(F.col("problem") == "too_large", F.parse_json(F.lit("{}")))
+    item = F.coalesce(F.col(VARIANT), nothing)
+    rows = _objects(parse_lines(lines), F.array(item), RECORD, POSITION)
     return rows.select(VARIANT, RECORD, POSITION)
 
 

@@ -22,64 +22,31 @@ def with_position(df: DataFrame) -> DataFrame:
     return df.select(*df.columns, F.struct(*place).alias(POSITION))
 
 
-def _largest_file(spark: SparkSession, path: str) -> int:
-    files = spark.read.format("binaryFile").load(path).select("length")
-    return files.agg(F.max("length")).first()[0] or 0
-
-
-def _split_size(spark: SparkSession) -> int:
-    return _bytes(spark.sql("SET spark.sql.files.maxPartitionBytes").first()["value"])
-
-
-def _fields_span_lines(spark: SparkSession, path: str, encoding: str) -> bool:
-    """Whether a quoted field may hold a line break.
-
-    Exact for quote-doubling CSV: a line with an even number of quotes ends
-    outside any field, so if all lines are even, no field spans lines.
-    """
-    if encoding.upper() not in ("UTF-8", "US-ASCII", "ISO-8859-1"):
-        return True
-    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
-
-
-def _bytes(setting: str) -> int:
-    digits = setting.lower().rstrip("b")
-    units = {"k": 10, "m": 20, "g": 30}
-    if digits[-1] in units:
-        return int(digits[:-1]) << units[digits[-1]]
-    return int(digits)
-
-
 def read_csv(
     spark: SparkSession,
     path: str,
     *,
     delimiter: str = ",",
     encoding: str = "UTF-8",
-    multiline: bool | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """A header CSV with every column a string; a BOM is dropped.
 
-    A field may span lines, and then one task must parse the whole file. For
-    files above the split size, ``multiline=None`` first looks whether any field
-    does: if not, Spark splits the files; if so, the rows are spread over the
-    cluster behind the parser, keeping their ``_pos``. Pass True or False to skip
-    both looks.
+    A field may span lines, so each file is parsed by one task. With
+    ``multiline=False`` every line is a row of its own and large files are split; lines
+    of white space alone are then no rows. The files of a folder must have the same
+    header; another one fails the job.
     """
-    large = multiline is None and _largest_file(spark, path) > _split_size(spark)
-    if multiline is None:
-        multiline = not large or _fields_span_lines(spark, path, encoding)
-    rows = with_position(
+    return with_position(
         spark.read.option("header", True)
         .option("inferSchema", False)
+        .option("enforceSchema", False)
         .option("sep", delimiter)
         .option("encoding", encoding)
         .option("escape", '"')
         .option("multiLine", multiline)
         .csv(path)
     )
-    return rows.repartition(spark.sparkContext.defaultParallelism) if large and multiline else rows
 
 
 def read_parquet(

@@ -26,16 +26,20 @@ def stream_csv(
     columns: Sequence[str],
     *,
     delimiter: str = ",",
+    multiline: bool = True,
     files_per_batch: int = 1,
 ) -> DataFrame:
-    """New header-CSV files of a folder, every column a string."""
+    """New header-CSV files of a folder, every column a string.
+
+    ``multiline`` as for :func:`lauter.sources.read_csv`.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     return with_position(
         spark.readStream.schema(schema)
         .option("header", True)
         .option("sep", delimiter)
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multiline)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(path)
     )

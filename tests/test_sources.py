@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lauter.sources import flatten_pages, parse_lines, read_csv, read_json, read_ndjson, read_parquet
-from lauter.sources.tables import _fields_span_lines
+from lauter.sources.json_records import line_records
 
 
 def write(path, text, encoding="utf-8"):
@@ -31,23 +31,36 @@ def test_csv_variants(spark, tmp_path):
     assert rows(read_csv(spark, latin, encoding="ISO-8859-1")) == [("é",)]
 
 
-def test_csv_is_split_only_when_no_field_spans_lines(spark, tmp_path):
-    plain = write(tmp_path / "plain.csv", 'a,b\n"x ""q""",1\n' + "y,2\n" * 5000)
-    spanning = write(tmp_path / "span.csv", 'a,b\n"x\ny",1\n' + "y,2\n" * 5000)
+@pytest.mark.parametrize("multiline", [True, False])
+def test_csv_is_the_same_at_every_split_size(spark, tmp_path, multiline):
+    text = 'a,b\n"x ""q""",1\n  \n' + '"z\rw",3\n' + "y,2\n" * 3000
+    if multiline:
+        text += '"u\nv",4\n'
+    path = write(tmp_path / "a.csv", text)
     limit = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(limit)
-    spark.conf.set(limit, "4096b")
     try:
-        assert not _fields_span_lines(spark, plain, "UTF-8")
-        assert _fields_span_lines(spark, spanning, "UTF-8")
-        whole, parts = read_csv(spark, spanning), read_csv(spark, plain)
-        assert whole.count() == parts.count() == 5001
-        assert parts.rdd.getNumPartitions() > 1
-        assert [r.a for r in whole.orderBy("_pos").limit(2).collect()] == ["x\ny", "y"]
-        ordered = [r.a for r in read_csv(spark, plain).orderBy("_pos").limit(2).collect()]
-        assert ordered == ['x "q"', "y"]
+        read = {}
+        for size in ("4096b", "128m"):
+            spark.conf.set(limit, size)
+            frame = read_csv(spark, path, multiline=multiline)
+            read[size] = [(r.a, r.b) for r in frame.orderBy("_pos").collect()]
+            if not multiline and size == "4096b":
+                assert frame.rdd.getNumPartitions() > 1
     finally:
         spark.conf.set(limit, before)
+    assert read["4096b"] == read["128m"]
+    assert read["128m"][0] == ('x "q"', "1")
+    if multiline:
+        assert read["128m"][1][0].strip() == "" and read["128m"][-1] == ("u\nv", "4")
+        assert len(read["128m"]) == 3004
+
+
+def test_csv_files_of_another_header_fail(spark, tmp_path):
+    write(tmp_path / "1.csv", "name,email\nAda,a@b.co\n")
+    write(tmp_path / "2.csv", "email,name\nc@d.co,Cy\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path)).collect()
 
 
 def test_missing_source_is_an_error(spark, tmp_path):
@@ -78,6 +91,16 @@ def test_ndjson(spark, tmp_path):
     assert sorted(problems) == ["malformed_json"] * 3 + ["not_an_object"] * 2
 
 
+def test_ndjson_keeps_large_lines_and_sees_through_end_markers(spark):
+    large = '{"k": "' + "x" * (25 << 20) + '"}'
+    forged = ['{"a":1},"end-of-record"', '{"a":1},"end-of-record"] x']
+    frame = spark.createDataFrame([(t, i) for i, t in enumerate([large, *forged])], "value string, _pos int")
+    found = [(r["n"], r["_pos"]) for r in line_records(frame).select(F.length("_record").alias("n"), "_pos").collect()]
+    assert found == [(len(large), 0)]
+    problems = [r.problem for r in parse_lines(frame).select("problem").collect()]
+    assert problems == ["too_large", "malformed_json", "malformed_json"]
+
+
 def test_pages(spark):
     payloads = {
         '{"results": [{"k": 1}, 2, {"k": 3}], "next": "/p2"}': [("/p2", 1), ("/p2", 3)],
