@@ -10,10 +10,14 @@
 3. A pair is a link if the sets of 5-word shingles have a Jaccard similarity of 0.8 or
    more and the words an edit similarity of 0.8 or more, found by alignment in a band.
 4. Components of links are classes. Buckets that still hold several classes go on: small
-   ones with every pair across classes, large ones are cut into cells of texts that agree
-   in two values, each with a hub of its own, and small cells with every pair.
-
-Texts are sent once per pair. No step gathers a bucket, class or component in one task.
+   ones with every pair across classes. The members of large ones are joined exactly: their
+   shingles are put in one order, the rarest first, and two sets with a Jaccard similarity
+   of 0.8 or more share a shingle among the first ones of both. Texts that share such a
+   shingle are compared with a hub first, and then every pair across classes that can
+   still be similar by its lengths and places.
+
+So any two texts that agree in a value are in one class if they are a link. Texts are sent
+once per pair. No step gathers a bucket, class or component in one task.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ BANDS = 16
 KEEP = 3
 SIMILAR = 0.8
 SMALL = 32
+ROUNDS = 2  # of hubs, before every pair
+SALTED = 1_000  # texts of one shingle in one task
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -56,16 +62,20 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return mixed(np.add.reduceat(code * power[place], ends - sizes) + sizes.astype(np.uint64))
 
 
-def shingle_hashes(words: list[bytes]) -> np.ndarray:
-    """A hash per 5-word shingle in text order, labelled with its occurrence.
-
-    Fewer words are one shingle.
-    """
+def plain_shingles(words: list[bytes]) -> np.ndarray:
+    """A hash per 5-word shingle in text order. Fewer words are one shingle."""
     h = word_hashes(words)
     n = max(1, len(h) - SHINGLE + 1)
     out = np.zeros(n, np.uint64)
     for i in range(min(SHINGLE, len(h))):
         out = mixed(out * _ODD + h[i : i + n])
+    return out
+
+
+def shingle_hashes(words: list[bytes]) -> np.ndarray:
+    """A hash per 5-word shingle in text order, labelled with its occurrence."""
+    out = plain_shingles(words)
+    n = len(out)
     order = np.argsort(out, kind="stable")
     ordered = out[order]
     new = np.append(True, ordered[1:] != ordered[:-1])
@@ -269,16 +279,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     checked = written(_verified(pairs, texts), "verified")
     state = components(nodes, checked.where("link"))
     # buckets of several classes
-    mixed_up = _mixed(members.join(state, "key"), ["band", "value"])
+    mixed_up = written(_mixed(members.join(state, "key"), ["band", "value"]), "mixed")
     few = _across(mixed_up.where(F.col("held") <= small), ["band", "value"])
-    cell = ["band", "value", "other", "second"]
-    many = written(_finer(mixed_up.where(F.col("held") > small)), "cells")
-    finer = written(_mixed(many, cell), "finer")
-    stars = finer.where("key <> hub").select(*_pair(F.col("key"), F.col("hub")))
-    more = few.unionByName(stars).unionByName(_across(finer.where(F.col("held") <= small), cell))
-    more = written(more.distinct().join(pairs, ["left", "right"], "left_anti"), "pairs")
-    again = written(_verified(more, texts).unionByName(checked), "verified")
-    return _classes(rows, components(nodes, again.where("link")))
+    checked, state = _more(few, checked, state, texts, nodes)
+    large = mixed_up.where(F.col("held") > small).select("key").distinct()
+    first = written(_first_shingles(large, texts), "shingles")
+    for turn in range(ROUNDS):
+        now = _several(first.join(state, "key"))
+        checked, state = _more(_hub_pairs(now, turn), checked, state, texts, nodes)
+    now = written(_several(first.join(state, "key")), "shingles")
+    checked, state = _more(_possible(now), checked, state, texts, nodes)
+    return _classes(rows, state)
+
+
+def _more(pairs: DataFrame, checked: DataFrame, state: DataFrame, texts: DataFrame, nodes: DataFrame):
+    """The checked pairs and the classes, with what the new ones of ``pairs`` add."""
+    new = written(pairs.distinct().join(checked, ["left", "right"], "left_anti"), "pairs")
+    if new.isEmpty():
+        return checked, state
+    found = written(_verified(new, texts), "verified")
+    both = checked.unionByName(found)
+    if found.where("link").isEmpty():
+        return both, state
+    return both, components(nodes, both.where("link"))
 
 
 def _hub() -> Column:
@@ -310,23 +333,66 @@ def _across(members: DataFrame, cell: list[str]) -> DataFrame:
     return pairs.select(F.col("a").alias("left"), F.col("b").alias("right"))
 
 
-def _finer(members: DataFrame) -> DataFrame:
-    """Cells of texts that agree in two values, from the members of large buckets.
+def _first_shingles(keys: DataFrame, texts: DataFrame) -> DataFrame:
+    """``key, shingle, n, rank``: the first of each text's ``n`` different shingles.
 
-    Both values are those of large buckets of several classes, each two of them once: texts
-    that also share a small bucket are compared there, and those that share a bucket of one
-    class are of one class already. A text has at most ``BANDS`` values.
+    Shingles are ordered by the number of texts that hold them, the rarest first, and
+    ``rank`` counts from 0. A set of n shingles that is similar to another one shares more
+    than all but its first ``n - SIMILAR * n + 1`` with it, so one of them is among these.
+    Shingles of one text come first and are in no pair: they are only counted.
     """
-    owned = members.groupBy("key", "component", "shared").agg(
-        F.array_sort(F.collect_list(F.struct("band", "value"))).alias("own")
-    )
-    first = owned.select("*", F.posexplode("own").alias("at", "one"))
-    both = first.select("*", F.explode(F.slice("own", F.col("at") + 2, BANDS)).alias("two"))
-    return both.select(
-        F.col("one.band").alias("band"), F.col("one.value").alias("value"),
-        F.col("two.band").alias("other"), F.col("two.value").alias("second"),
-        "key", "component", "shared",
-    )
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(plain_shingles(words_of(t.as_py()))).view(np.int64) for t in batch.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
+                names=["key", "n", "shingles"],
+            )
+
+    sets = texts.join(keys, "key", "left_semi").select("key", "t").mapInArrow(make, "key binary, n long, shingles array<long>")
+    held = written(sets.select("key", "n", F.explode("shingles").alias("shingle")), "shingles")
+    often = held.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    own = held.join(often, "shingle").groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("own"))
+    ranked = own.select("key", "n", F.size("own").alias("common"), F.posexplode("own").alias("at", "one"))
+    ranked = ranked.select("key", F.col("one.shingle").alias("shingle"), "n", (F.col("n") - F.col("common") + F.col("at")).alias("rank"))
+    return ranked.where(F.col("rank") <= F.col("n") - _least(F.col("n") * SIMILAR))
+
+
+def _least(x: Column) -> Column:
+    """The smallest whole number that is not below x, but for rounding."""
+    return F.ceil(x - 1e-6)
+
+
+def _several(held: DataFrame) -> DataFrame:
+    """The rows of shingles that texts of several classes hold, with the number of texts ``m``."""
+    counts = held.groupBy("shingle").agg(F.count("*").alias("m"), F.min("component").alias("low"), F.max("component").alias("high"))
+    return held.join(counts.where("low <> high").select("shingle", "m"), "shingle")
+
+
+def _can_be_similar(a: str, b: str) -> Column:
+    """Whether a pair may have enough shingles in common, by its sizes and what follows its ranks."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    after = F.least(n - F.col(f"{a}.rank"), m - F.col(f"{b}.rank"))
+    return after >= _least((n + m) * (SIMILAR / (1 + SIMILAR)))
+
+
+def _hub_pairs(held: DataFrame, turn: int) -> DataFrame:
+    """Each text with the hub of its shingle, another one each turn."""
+    hub = F.struct(F.xxhash64("key", F.lit(turn)), "key", "n", "rank", "component")
+    hubs = held.groupBy("shingle").agg(F.min(hub).alias("hub"))
+    pairs = held.alias("a").join(hubs, "shingle").where(F.col("a.component") != F.col("hub.component"))
+    return pairs.where(_can_be_similar("a", "hub")).select(*_pair(F.col("a.key"), F.col("hub.key")))
+
+
+def _possible(held: DataFrame) -> DataFrame:
+    """Every pair across classes that can be similar, from shingles cut into blocks."""
+    blocks = F.ceil(F.col("m") / SALTED).cast("int")
+    one = held.withColumn("block", F.pmod(F.xxhash64("key"), blocks).cast("int"))
+    two = held.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    pairs = one.alias("a").join(two.alias("b"), ["shingle", "block"])
+    pairs = pairs.where((F.col("a.key") < F.col("b.key")) & (F.col("a.component") != F.col("b.component")))
+    return pairs.where(_can_be_similar("a", "b")).select(F.col("a.key").alias("left"), F.col("b.key").alias("right"))
 
 
 def _of_key(held: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from lauter.llm.exact_dedup import exact_dedup, keep_first_copies
 from lauter.llm.html_text import extract, read_page
 from lauter.llm.language import label_languages, learnable
 from lauter.llm.mixing import mix, take_mix
-from lauter.llm.near_dedup import edits_within, keep_one_of_each, near_duplicates
+from lauter.llm.near_dedup import edits_within, keep_one_of_each, near_duplicates, similar
 from lauter.llm.suffix_dedup import remove_repeats, suffix_array
 from lauter.llm.tokens import token_counts
 from lauter.llm.toxicity import drop_toxic, toxicity
@@ -203,6 +203,34 @@ def test_one_row_of_each_class_stays(spark):
     assert keep_one_of_each(docs.where("false")).count() == 0
 
 
+def test_near_duplicates_of_large_buckets_are_those_of_all_pairs(spark):
+    """Form letters: all share most shingles, but only two and two of them are a link."""
+    rng, template, texts = random.Random(11), words(400, 200), []
+    for i in range(100):
+        at = rng.sample(range(5, 195, 6), 6)
+        for own in (at[2:4], at[4:]):
+            text = template[:]
+            for place in at[:2]:
+                text[place] = f"both{i}"
+            for place in own:
+                text[place] = f"own{len(texts)}"
+            texts.append(" ".join(text))
+    up = list(range(len(texts)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if similar(texts[i].encode(), texts[j].encode()):
+                low, high = sorted((top(i), top(j)))
+                up[high] = low
+    rows = {r.doc_id: r.class_id for r in near_duplicates(documents(spark, texts), small=2).collect()}
+    assert rows == {i: top(i) for i in range(len(texts))} and len(set(rows.values())) == 100
+
+
 def test_edits_within():
     def edits(x, y):
         row = list(range(len(y) + 1))
