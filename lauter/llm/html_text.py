@@ -41,6 +41,9 @@ CUT = 2.0  # price of cutting a subtree out of kept text
 # fixed values: the vocabulary of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("head title script style noscript template svg math iframe object canvas audio video".split())
+# what may stand in a head; anything else ends it, as does text
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+FOREIGN = frozenset(("svg", "math"))
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol optgroup option p pre search "
@@ -114,11 +117,10 @@ class _Reader(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if self.unseen:
-            # body ends a head that was never closed
-            if tag == "body" and self.unseen[0] == "head":
+            if self.unseen == ["head"] and tag not in IN_HEAD or tag == "body" and self.unseen[0] == "head":
                 self.unseen = []
             else:
-                if tag == self.unseen[-1]:
+                if tag == self.unseen[-1] or self.unseen == ["head"] and tag in UNSEEN:
                     self.unseen.append(tag)
                 return
         if tag in UNSEEN:
@@ -154,8 +156,11 @@ class _Reader(HTMLParser):
         self.open.append(len(page.tag) - 1)
 
     def handle_startendtag(self, tag, attrs):
-        # the slash means nothing in HTML but on void elements
+        # the slash means nothing in HTML but on void elements, svg and math
+        before = len(self.unseen)
         self.handle_starttag(tag, attrs)
+        if tag in FOREIGN and len(self.unseen) > before:
+            self.unseen.pop()
 
     def handle_endtag(self, tag):
         if self.unseen:
@@ -173,6 +178,8 @@ class _Reader(HTMLParser):
                     break
 
     def handle_data(self, data):
+        if self.unseen == ["head"] and data.strip():
+            self.unseen = []
         if not self.unseen:
             self.held.append(data)
             if self.link:

@@ -141,6 +141,17 @@ def test_pages_are_read_into_blocks():
     assert [t for _, t in page.pieces] == ["a", "b c", "d e", "g", "h"]
 
 
+@pytest.mark.parametrize(("page", "pieces"), [
+    ("<head><title>T</title><p>a <b>b</b><p>c", ["a b", "c"]),
+    ("<html><head><meta charset=utf-8><style>x</style>\n text <i>more</i>", ["text more"]),
+    ("<head><script>if (a<b) 1</script><noscript><p>no</p></noscript><link rel=x></head><p>a", ["a"]),
+    ("<p>a<svg class=x /> b<p>c<math/>d<svg><path/><g/></svg>e", ["a b", "cde"]),
+    ("<svg><svg/>x</svg><p>a", ["a"]),
+])
+def test_elements_that_html_ends_by_itself(page, pieces):
+    assert [t for _, t in read_page(page).pieces] == pieces
+
+
 # -- 5 ------------------------------------------------------------------------
 
 
