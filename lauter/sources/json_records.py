@@ -6,10 +6,12 @@ an absent key from an explicit null.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType, VariantType
 
 from lauter.functions.text import strip
 from lauter.operators.rules import ENTITIES, KIND, POSITION, RECORD
@@ -144,11 +146,15 @@ def flatten_pages(
     data_key: str | None = "results",
     next_key: str | None = "next",
 ) -> DataFrame:
-    """Records of landed API payloads: ``record`` and ``next_url`` beside the page's columns.
+    """Records of landed API payloads: ``record``, its text ``_record`` and ``next_url`` beside the page's columns.
 
     An object payload holds its records in the list under ``data_key`` (none when
     the key is missing) and the link to the next page under ``next_key``; a list
     payload is the records. Other shapes, and items that are not objects, yield nothing.
+
+    A payload too large for a VARIANT is read record by record. If a record is too large
+    too, the page is one record without fields: rules reject it, so that it is counted
+    and its text kept with the dead letters.
     """
     value, kind = F.col("_payload"), F.col("_payload_kind")
     parsed = _with_value(pages, F.col(payload), "_payload").withColumn("_payload_kind", _kind(value))
@@ -159,13 +165,49 @@ def flatten_pages(
         if next_key:
             link = F.try_variant_get(value, _path(next_key), "string")
             following = F.when((kind == "OBJECT") & (link != ""), link)
-    others = [c for c in pages.columns if c != payload]
-    listed = parsed.select(
-        *others,
-        following.alias("next_url"),
-        F.try_variant_get(items, "$", "array<variant>").alias("_items"),
-    )
-    return _objects(listed, F.col("_items"), *others, "next_url")
+    others = [c for c in pages.columns if c not in (payload, RECORD)]
+    items = F.try_variant_get(items, "$", "array<variant>")
+    large = F.when(kind.isNull() & (F.octet_length(payload) > SURE_BYTES), strip(F.col(payload)))
+    listed = parsed.select(*others, following.alias("next_url"), items.alias("_items"), large.alias("_large"))
+    listed = _with_large(listed, data_key, next_key)
+    rows = _objects(listed, F.col("_items"), *others, "next_url", "_text")
+    text = F.coalesce("_text", F.to_json(VARIANT))
+    return rows.select(*others, "next_url", VARIANT, text.alias(RECORD))
+
+
+def _with_large(listed: DataFrame, data_key: str | None, next_key: str | None) -> DataFrame:
+    """Fill ``_items`` and ``next_url`` from ``_large``; ``_text`` is a page that cannot be read.
+
+    The text is read as the first of two items; the second one, a hash of the text, shows
+    that the text is one value and complete.
+    """
+    text, end = F.col("_large"), F.xxhash64("_large").cast("string")
+    options = {"allowSingleQuotes": "false"}
+    is_list, is_object = text.startswith("[") & text.endswith("]"), text.startswith("{") & text.endswith("}")
+    pair = F.concat(F.lit("["), F.when(is_list, text), F.lit(',["'), end, F.lit('"]]'))
+    listed = listed.withColumn("_list", F.from_json(pair, ArrayType(ArrayType(VariantType())), options))
+    whole = (F.size("_list") == 2) & (F.try_variant_get(F.col("_list")[1][0], "$", "string") == end)
+    found = F.when(whole, F.col("_list")[0])
+    following = F.col("next_url")
+    read = whole
+    if data_key:
+        mark = f"{data_key}{next_key}_end"
+        fields = [StructField(data_key, ArrayType(VariantType())), StructField(mark, StringType())]
+        if next_key and next_key != data_key:
+            fields.append(StructField(next_key, VariantType()))
+        pair = F.concat(F.lit("["), F.when(is_object, text), F.lit(f',{{{json.dumps(mark)}:"'), end, F.lit('"}]'))
+        listed = listed.withColumn("_object", F.from_json(pair, ArrayType(StructType(fields)), options))
+        first = F.col("_object")[0]
+        complete = (F.size("_object") == 2) & (F.col("_object")[1].getField(mark) == end)
+        found = found.when(complete, first.getField(data_key))
+        read = F.coalesce(whole, F.lit(False)) | F.coalesce(complete, F.lit(False))
+        if next_key and next_key != data_key:
+            link = F.try_variant_get(first.getField(next_key), "$", "string")
+            following = F.coalesce(following, F.when(complete & (link != ""), link))
+        is_list = is_list | is_object
+    lost = F.when(is_list & ~F.coalesce(read, F.lit(False)), text)
+    nothing = F.when(lost.isNotNull(), F.array(F.parse_json(F.lit("{}"))))
+    return listed.withColumns({"_items": F.coalesce("_items", found, nothing), "next_url": following, "_text": lost})
 
 
 def _path(key: str) -> str:
