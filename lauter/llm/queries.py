@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lauter.llm import decontaminate, toxicity
 from lauter.llm.common import crc_mod, table
+from lauter.llm.divergence import source_divergence
 from lauter.llm.exact_dedup import exact_dedup
 from lauter.llm.html_text import extract
 from lauter.llm.language import label_languages, learnable
@@ -150,3 +151,41 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     found = label_languages(docs, learnable(docs, "doc_id", 4, 2))
     held_out = F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence(table(spark, folder, "documents"))
+
+
+ORACLES["op11_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+t AS (SELECT r, lang, source, unnest(ws) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+l AS (SELECT lang, coalesce(sum(n), 0) AS total, count(term) AS v
+      FROM (SELECT DISTINCT lang FROM d) LEFT JOIN kept USING (lang) GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+cn AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+g AS (SELECT lang, source, coalesce(cn.total, 0) AS total, l.v
+      FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN cn USING (lang, source) JOIN l USING (lang)),
+p AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)::HUGEINT) // (g.total + g.v)::HUGEINT AS p,
+             1 + (1000000000::HUGEINT * (kept.n + 1)::HUGEINT) // (l.total + l.v)::HUGEINT AS q
+      FROM g JOIN l USING (lang) JOIN kept ON kept.lang = g.lang
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+      GROUP BY a.lang, a.source, b.source),
+both_parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM both_parts QUALIFY part = 'pair' OR rank <= 200
+"""
