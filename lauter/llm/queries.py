@@ -12,10 +12,12 @@ from lauter.llm import decontaminate, toxicity
 from lauter.llm.common import crc_mod, table
 from lauter.llm.divergence import source_divergence
 from lauter.llm.exact_dedup import exact_dedup
+from lauter.llm.fingerprint import neighbour_likeness
 from lauter.llm.html_text import extract
 from lauter.llm.language import label_languages, learnable
 from lauter.llm.mixing import mix
 from lauter.llm.near_dedup import near_duplicates
+from lauter.llm.prefix_trie import conversations, prefix_trie, with_shared_heads
 from lauter.llm.suffix_dedup import remove_repeats
 from lauter.llm.tokens import token_counts
 from lauter.llm.warc import read_warc, write_warc
@@ -189,3 +191,53 @@ SELECT lang, source, part, item, value,
        row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
 FROM both_parts QUALIFY part = 'pair' OR rank <= 200
 """
+
+
+@query
+def op12_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbour_likeness(table(spark, folder, "documents"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(with_shared_heads(conversations(table(spark, folder, "conversations"))))
+
+
+# crc32 bit by bit: h is what a conversation takes from the first of its twenty
+ORACLES["op13_prefix_trie"] = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+h AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT,
+               list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+             lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+               lambda a, z: xor(a >> 1, (a & 1) * 3988292384::BIGINT))), 4294967295::BIGINT) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT h.conv_id, t.i, t.role, t.text FROM h JOIN t ON t.conv_id = h.base AND t.i <= h.h
+  UNION ALL SELECT h.conv_id, t.i, t.role, t.text FROM h JOIN t ON t.conv_id = h.conv_id AND t.i > h.h),
+c AS (
+  SELECT h.conv_id, coalesce(ks, []) AS ks, coalesce(ws, []) AS ws FROM h LEFT JOIN (
+    SELECT conv_id, list(sha256(length(role) || ':' || role || text) ORDER BY i) AS ks,
+           list(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) ORDER BY i) AS ws FROM r GROUP BY conv_id) USING (conv_id)),
+x AS (SELECT conv_id, ks, ws, unnest(range(0, len(ks) + 1)) AS d FROM c),
+p AS (
+  SELECT conv_id, d, sha256(array_to_string(ks[1:d], ',')) AS k, d = len(ks) AS ends,
+         CASE WHEN d > 0 THEN sha256(array_to_string(ks[1:d - 1], ',')) END AS parent,
+         CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS w FROM x),
+n AS (
+  SELECT d, k, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n, any_value(w) AS w,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends) AS ids FROM p GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, parent AS k, count(*) AS kids FROM n WHERE d > 0 GROUP BY d, parent),
+full_node AS (SELECT n.*, coalesce(kids, 0) AS kids FROM n LEFT JOIN kids USING (d, k)),
+sub AS (
+  SELECT p.d, p.k, sum(CASE WHEN y.kids = 0 THEN 1 ELSE 0 END) AS leaves, sum((y.n - 1) * y.w) AS saved
+  FROM full_node y JOIN p ON p.conv_id = y.conv_id AND p.d <= y.d GROUP BY p.d, p.k)
+SELECT a.conv_id, a.d::BIGINT AS depth, b.conv_id AS parent_conv_id, a.n::BIGINT AS n_convs, a.kids::BIGINT AS n_children,
+       leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(a.ids, '')) AS ends_sha256
+FROM full_node a JOIN sub USING (d, k) LEFT JOIN full_node b ON b.d = a.d - 1 AND b.k = a.parent
+"""
