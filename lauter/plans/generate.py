@@ -28,7 +28,7 @@ LAST_NAMES = ["Abel", "Berg", "Costa", "Dietz", "Evans", "Faber", "Gruber", "Hal
 DOMAINS = ["example.com", "example.org", "example.net"]
 PREFIXES = ["+43 1", "+61-2", "+81 3", "+358-9", "+56 2"]
 ADJECTIVES = ["Plain", "Light", "Solid", "Quick", "Small", "Large"]
-NOUNS = ["Widget", "Bracket", "Module", "Panel", "Kit", "Case"]
+NOUNS = ["Ladder", "Teapot", "Hammock", "Lantern", "Saddle", "Compass"]
 
 
 class _Dice:

@@ -232,9 +232,7 @@ def test_create_keeps_existing_tables(spark, warehouse):
 
 def test_summary():
     result = RunResult("f.csv", "12345678-abc", started_at=datetime(2024, 1, 1))
-    assert result.summary() == "RunResult(id=12345678 source='f.csv' [in progress])"
+    assert result.summary() == "run 12345678 of f.csv [in progress]"
     result.finished_at = datetime(2024, 1, 1, 0, 0, 2, 500000)
     result.rows_ingested, result.rows_failed, result.chunks_processed = 3, 1, 1
-    assert result.summary() == (
-        "RunResult(id=12345678 source='f.csv' ingested=3 failed=1 chunks=1 duration=2.50s)"
-    )
+    assert result.summary() == "run 12345678 of f.csv: 3 loaded, 1 rejected, 0 repeated, 1 chunks, 2.50s"
