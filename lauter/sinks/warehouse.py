@@ -1,31 +1,31 @@
 """Table storage on plain Parquet (K1, K2, K5, K6).
 
-Keyed tables are folders of complete versions ``v=<n>``; the newest version with
-a ``_SUCCESS`` marker is the table, so a failed or half-written version is never
-read and readers of the version before keep their files. Append tables have one
+Keyed tables are hash buckets under claimed versions (:mod:`lauter.sinks.buckets`): a
+failed or half-written load is never read, readers of the version before keep their
+files, and loads at the same time do not lose each other's rows. Append tables have one
 folder ``load_id=<id>`` per load, so replaying a load replaces its own rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lauter.operators.merge import merge_rows
 from lauter.schemas import TABLES, Table
 from lauter.sinks import paths
+from lauter.sinks.buckets import NAMES_KEPT, ROWS_PER_BUCKET, BucketedTable
 
-VERSIONS_KEPT = 2
 _IDS = "_ids"
 
 
 class Warehouse:
     """The six tables below one root folder that every executor can reach."""
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.rows_per_bucket = rows_per_bucket
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
@@ -49,17 +49,14 @@ class Warehouse:
 
     # -- reading -------------------------------------------------------------
 
-    def _versions(self, table: Table) -> list[str]:
-        found = [n for n in paths.names(self.spark, self.path(table.name)) if n.startswith("v=")]
-        return [n for n in found if paths.exists(self.spark, self.path(table.name, n, "_SUCCESS"))]
+    def keyed(self, name: str) -> BucketedTable:
+        return BucketedTable(self.spark, self.path(name), TABLES[name], self.rows_per_bucket)
 
     def table(self, name: str) -> DataFrame:
         table = TABLES[name]
         if table.keyed:
-            versions = self._versions(table)
-            if not versions:
-                return _no_rows(self.spark, table.schema)
-            return self.spark.read.schema(table.schema).parquet(self.path(name, versions[-1]))
+            rows = self.keyed(name).read()
+            return _no_rows(self.spark, table.schema) if rows is None else rows
         loads = T.StructType([*table.schema.fields, T.StructField("load_id", T.StringType())])
         return self.spark.read.schema(loads).parquet(self.path(name)).drop("load_id")
 
@@ -68,18 +65,23 @@ class Warehouse:
     def reserve_ids(self, name: str, count: int) -> int:
         """Set ``count`` ids aside and return the number before the first.
 
-        The high-water mark is the name of an empty file, created before any row
-        with such an id is written; two writers cannot both create it.
+        The high-water mark is published before any row with such an id is written. Marks
+        are numbered, so that writers who count on from the same mark want the same name,
+        and only one of them gets it.
         """
         folder = self.path(name, _IDS)
         while True:
-            marks = paths.names(self.spark, folder)
-            base = int(marks[-1]) if marks else 0
-            if count == 0 or paths.touch(self.spark, f"{folder}/{base + count:020d}"):
-                break
-        for old in marks[:-1]:
-            paths.delete(self.spark, f"{folder}/{old}")
-        return base
+            marks = [n for n in paths.names(self.spark, folder) if n.isdigit()]
+            text = paths.read(self.spark, f"{folder}/{marks[-1]}") if marks else "0"
+            if text is None:  # dropped since the listing: there are newer ones
+                continue
+            base, turn = int(text), int(marks[-1]) if marks else 0
+            if count == 0:
+                return base
+            if paths.publish(self.spark, f"{folder}/{turn + 1:012d}", str(base + count)):
+                for old in marks[:-NAMES_KEPT]:
+                    paths.delete(self.spark, f"{folder}/{old}")
+                return base
 
     # -- writing -------------------------------------------------------------
 
@@ -91,24 +93,12 @@ class Warehouse:
             rows = rows.sortWithinPartitions(*table.cluster_by)
         rows.write.mode("overwrite").parquet(self.path(name, f"load_id={load_id}"))
 
-    def upsert(self, name: str, rows: DataFrame) -> int:
+    def upsert(self, name: str, rows: DataFrame, expected: int | None = None) -> int:
         """Merge rows that are unique on the table's key (K2) and return their number.
 
-        Every incoming row has an id; only the ids of new keys are used. The
-        count is observed in the writing stage, where a re-run task counts once.
+        Every incoming row has an id; only the ids of new keys are used.
         """
-        table = TABLES[name]
-        current = (self._versions(table) or ["v=0"])[-1]
-        incoming = self._stored(table, rows)
-        merged = merge_rows(
-            self.table(name), incoming, table.key, table.updates, table.sticky
-        )
-        loaded = Observation()
-        counted = merged.observe(loaded, F.count_if("_loaded").alias("rows")).drop("_loaded")
-        version = f"v={int(current[2:]) + 1:08d}"
-        counted.write.mode("overwrite").parquet(self.path(name, version))
-        self._drop_old_versions(table)
-        return loaded.get["rows"]
+        return self.keyed(name).upsert(self._stored(TABLES[name], rows), expected)
 
     def _stored(self, table: Table, rows: DataFrame) -> DataFrame:
         """The table's columns in its types, ``created_at`` and absent ones filled in."""
@@ -123,10 +113,6 @@ class Warehouse:
             columns.append(value.cast(field.dataType).alias(field.name))
         return rows.select(*columns)
 
-    def _drop_old_versions(self, table: Table) -> None:
-        for old in self._versions(table)[:-VERSIONS_KEPT]:
-            paths.delete(self.spark, self.path(table.name, old))
-
 
 def _no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """An empty table that the optimizer knows to be empty."""
