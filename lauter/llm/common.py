@@ -14,15 +14,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def written(frame: DataFrame, label: str) -> DataFrame:
-    """The frame, written to the shared folder and read again.
+def written(frame: DataFrame, label: str, **options: str) -> DataFrame:
+    """The frame, written to the shared folder with these Parquet options and read again.
 
     Cuts the lineage: what follows survives lost executors without this work being done
     again, and every later use sees the very same rows.
     """
     spark = frame.sparkSession
     path = scratch_path(spark, label)
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -329,7 +329,8 @@ def neighbour_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shape = f"doc_id {kind}, {_PLACE}, text string, {_RESULT}"
     names = [part.split()[0] for part in shape.replace(f"doc_id {kind}", "doc_id x").split(", ")]
     arrow = _arrow_type(plain)
-    found = written(ordered.mapInArrow(_stream(arrow, names), shape), "neighbours")
+    # fingerprints are hex digits, which only an entropy coder makes shorter
+    found = written(ordered.mapInArrow(_stream(arrow, names), shape), "neighbours", compression="zstd")
 
     # one narrow row per task with rows: which task comes next
     tasks = found.where("tail").select("part")
