@@ -27,6 +27,8 @@ from lauter.schemas import AMOUNT, PRICE
 POSITION = "_pos"
 ERRORS = "_errors"
 RECORD = "_record"
+# why a line holds no record, or not all of it
+PROBLEM = "problem"
 KIND = "_kind_"
 
 _REQUIRED = object()  # marks a field that has no default

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,9 @@ from lauter.sources import (
     flatten_pages,
     parse_lines,
     read_csv,
+    read_csv_split,
     read_json,
+    read_json_split,
     read_ndjson,
     read_parquet,
 )
@@ -104,7 +107,7 @@ DECOMPOSED = "CASE WHEN doc_id % 2 = 0 THEN replace(text, '\u00e9', 'e\u0301') E
 WITH_CONTROLS = "concat(' \t', replace(text, ' ', ' \x01‍\x7f'), ' \n　')"
 SENTINEL = (
     "CASE doc_id % 8 WHEN 0 THEN 'N/A' WHEN 1 THEN 'NULL' WHEN 2 THEN 'none' WHEN 3 THEN '--' "
-    "WHEN 4 THEN 'Undefined' WHEN 5 THEN '' WHEN 6 THEN lang ELSE text END"
+    "WHEN 4 THEN 'Undefined' WHEN 5 THEN '' WHEN 6 THEN lang ELSE source END"
 )
 
 
@@ -138,8 +141,10 @@ def clean_strip_control(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def clean_nulls(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _documents(spark, folder, SENTINEL)
-    return _digest(docs.withColumn("text", text.nullify(F.col("text"))), "text")
+    configure(spark)
+    docs = inputs.table(spark, folder, "documents").selectExpr("doc_id", "text", f"{SENTINEL} AS mark")
+    columns = ["text", "mark"]
+    return _digest(docs.withColumns({c: text.nullify(F.col(c)) for c in columns}), *columns)
 
 
 @query
@@ -324,9 +329,9 @@ def orphans(spark: SparkSession, folder: str) -> DataFrame:
 # -- stored tables -----------------------------------------------------------
 
 
-def _warehouse(spark: SparkSession, label: str) -> Warehouse:
+def _warehouse(spark: SparkSession, label: str, **options) -> Warehouse:
     configure(spark)
-    return Warehouse(spark, scratch_path(spark, label))
+    return Warehouse(spark, scratch_path(spark, label), **options)
 
 
 @query
@@ -337,6 +342,15 @@ def upsert_customers(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.table("customers").select("email", "name", "phone")
 
 
+@query
+def upsert_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same loads into small buckets: the second one writes those it touches (K2)."""
+    warehouse = _warehouse(spark, "buckets", rows_per_bucket=6_400)
+    for feed in _given(spark, folder, inputs.RAW_CUSTOMERS, inputs.LATER_CUSTOMERS):
+        run_entity(warehouse, feed, "customers", order_by=["pos"])
+    return warehouse.table("customers").select("email", "name", "phone")
+
+
 @query
 def upsert_products(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = _warehouse(spark, "products")
@@ -591,18 +605,81 @@ def json_array(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("event_id", F.try_variant_get(VARIANT, "$.k", "bigint").alias("k"))
 
 
+def _as_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The objects of a task as the lines of one JSON array, with an item that is none."""
+    yield pa.RecordBatch.from_pydict({"value": ["["]})
+    for batch in batches:
+        yield pa.RecordBatch.from_pydict({"value": [f"{line}," for line in batch["value"].to_pylist()]})
+    yield pa.RecordBatch.from_pydict({"value": ["null]"]})
+
+
+def _documents_of(spark: SparkSession, folder: str, tasks: int) -> str:
+    """The events as JSON documents, one file per task; braces and quotes within strings."""
+    configure(spark)
+    events = inputs.table(spark, folder, "events").repartition(tasks, "event_id")
+    note = F.concat(F.lit('}"],\\{'), "event_type", F.lit("\n["), "props")
+    record = F.struct("event_id", note.alias("note"), F.array(F.struct("value")).alias("seen"))
+    path = scratch_path(spark, "json")
+    events.select(F.to_json(record).alias("value")).mapInArrow(_as_document, "value string").write.text(path)
+    return path
+
+
+def _document_fields(records: DataFrame) -> DataFrame:
+    return records.select(
+        F.try_variant_get(VARIANT, "$.event_id", "bigint").alias("event_id"),
+        F.try_variant_get(VARIANT, "$.note", "string").alias("note"),
+        F.try_variant_get(VARIANT, "$.seen[0].value", "double").alias("value"),
+    )
+
+
 @query
 def json_files(spark: SparkSession, folder: str) -> DataFrame:
-    """One document file per task of the region table, read back as records."""
+    """Document files of all events, read back as records."""
+    return _document_fields(read_json(spark, _documents_of(spark, folder, 8)))
+
+
+def _small_ranges(spark: SparkSession, size: int) -> SparkSession:
+    """A session of its own, in which files are cut into ranges of so many bytes."""
+    session = configure(spark.newSession())
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        session.conf.set(f"spark.sql.files.{name}", str(size))
+    return session
+
+
+@query
+def json_split_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Few documents of all events, cut into ranges of 64 KB."""
+    path = _documents_of(spark, folder, 2)
+    return _document_fields(read_json_split(_small_ranges(spark, 1 << 16), path))
+
+
+@query
+def csv_split_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents, with line ends and quotes in their texts, as CSV cut into ranges."""
     configure(spark)
-    path = scratch_path(spark, "json")
-    region = inputs.table(spark, folder, "region")
-    objects = region.selectExpr("concat('{\"name\": \"', r_name, '\"}, 7, ') AS value")
-    edges = [spark.range(1, numPartitions=1).selectExpr(f"'{edge}' AS value") for edge in ("[", "null]")]
-    document = edges[0].unionAll(objects).unionAll(edges[1]).coalesce(1)
-    document.write.option("lineSep", " ").text(path)
-    rows = read_json(spark, f"{path}/part-*")
-    return rows.select(F.try_variant_get(VARIANT, "$.name", "string").alias("name"))
+    docs = inputs.table(spark, folder, "documents")
+    path = scratch_path(spark, "csv")
+    words = F.concat(F.lit('"Q", '), "text", F.lit('\n"'))
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    docs.select("doc_id", "lang", words.alias("text")).write.options(**options).csv(path)
+    rows = read_csv_split(_small_ranges(spark, 1 << 16), path)
+    return _digest(rows.withColumn("doc_id", F.col("doc_id").cast("bigint")), "lang", "text")
+
+
+@query
+def ndjson_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that hold no record beside the records that were rejected (S3, K3)."""
+    [lines] = _given(spark, folder, inputs.JSON_LINES)
+    path = scratch_path(spark, "ndjson")
+    lines.select("value").write.text(path)
+    result = run_entity(_warehouse(spark, "skipped"), read_ndjson(spark, path, skipped=True), "categories")
+    letter = F.parse_json("value")
+    kept = spark.read.text(f"{result.dead_letter_path}/*").select(
+        F.variant_get(letter, "$.reason", "string").alias("reason"),
+        F.try_variant_get(letter, "$.record.id", "bigint").alias("record_id"),
+        F.try_variant_get(letter, "$.record", "string").alias("line"),
+    )
+    return kept.withColumn("line", F.when(F.col("record_id").isNull(), F.col("line")))
 
 
 @query

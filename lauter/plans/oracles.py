@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from lauter.functions.coerce import EMAIL_RE
-from lauter.functions.text import MAX_LENGTHS, NULL_SENTINELS, WHITESPACE
 from lauter.plans import catalog, inputs
 from lauter.plans.inputs import plain
 
@@ -12,9 +10,13 @@ def _quote(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-_BLANK = _quote(WHITESPACE)
-_NOTHING = ", ".join(_quote(s) for s in NULL_SENTINELS)
-_EMAIL = _quote(EMAIL_RE)
+# --- fixed values, stated apart from the code they check -----------------------
+MAX_LENGTHS = {'name': 256, 'email': 256, 'sku': 64, 'phone': 32, 'status': 32, 'category': 128}
+_BLANK = _quote('\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000')
+_NOTHING = "'', '-', '--', 'n/a', 'na', 'nil', 'none', 'null', 'undefined'"
+_EMAIL = _quote(
+    "^[A-Za-z0-9!#$%&'*+/=?^_`{|}~-]+(\\.[A-Za-z0-9!#$%&'*+/=?^_`{|}~-]+)*@([A-Za-z0-9]([A-Za-z0-9-]*[A-Za-z0-9])?\\.)+[A-Za-z]{2,}$"
+)
 _PHONE = r"'^\+?[\d\s\-().]{7,20}$'"
 _FORMATS = (
     "['%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%dT%H:%M:%SZ', '%Y-%m-%d', "
@@ -271,6 +273,10 @@ _FILE_ITEMS = _items(
     "WHERE errors = '')".replace("{", "{{").replace("}", "}}")
 )
 
+EVENT_DOCUMENTS = r"""
+SELECT event_id, '}"],\{' || event_type || chr(10) || '[' || props AS note, value FROM events"""
+
+
 ORACLES = {
     "q1_customer_history": f"""
 SELECT id AS order_id, status, total_amount, ordered_at FROM ({plain(inputs.ORDERS)}) o
@@ -311,7 +317,10 @@ GROUP BY p.id, p.sku, p.name ORDER BY revenue DESC, p.sku LIMIT 10""",
         "text",
     ),
     "clean_nulls": _digest(
-        f"SELECT doc_id, {_nullified('text')} AS text FROM {_documents(catalog.SENTINEL)}", "text"
+        f"SELECT doc_id, {_nullified('text')} AS text, {_nullified('mark')} AS mark "
+        f"FROM (SELECT doc_id, text, {catalog.SENTINEL} AS mark FROM documents) d",
+        "text",
+        "mark",
     ),
     "clean_truncate": _digest(
         "SELECT doc_id, text AS other, "
@@ -374,6 +383,12 @@ WHERE o.customer_id NOT IN (SELECT id FROM ({FIRST_CUSTOMERS}) c)""",
         "email",
         ["name", "phone"],
     ),
+    "upsert_bucketed": _upserted(
+        FIRST_CUSTOMERS,
+        _first(_customers(inputs.LATER_CUSTOMERS), "email"),
+        "email",
+        ["name", "phone"],
+    ),
     "upsert_products": _upserted(
         _with_category(FIRST_PRODUCTS),
         _with_category(_first(_products(inputs.LATER_PRODUCTS), "sku")),
@@ -499,7 +514,22 @@ FROM (SELECT event_id, unnest(CASE WHEN json_type(value) = 'ARRAY'
         THEN from_json(value, '["JSON"]') ELSE [CAST(value AS JSON)] END) AS e
       FROM ({plain(inputs.JSON_DOCUMENTS)}) d) x
 WHERE json_type(e) = 'OBJECT'""",
-    "json_files": "SELECT r_name AS name FROM region",
+    "json_files": EVENT_DOCUMENTS,
+    "json_split_scan": EVENT_DOCUMENTS,
+    "csv_split_scan": _digest(
+        """SELECT doc_id, lang, '"Q", ' || text || chr(10) || '"' AS text FROM documents""",
+        "lang",
+        "text",
+    ),
+    "ndjson_dead_letters": f"""
+SELECT CASE WHEN NOT json_valid(value) THEN 'malformed_json'
+    WHEN json_type(value) <> 'OBJECT' THEN 'not_an_object'
+    ELSE 'category validation: name: missing' END AS reason,
+  CASE WHEN json_valid(value) AND json_type(value) = 'OBJECT'
+    THEN CAST(json_extract(value, '$.id') AS BIGINT) END AS record_id,
+  CASE WHEN NOT json_valid(value) THEN trim(value)
+    WHEN json_type(value) <> 'OBJECT' THEN CAST(json(value) AS VARCHAR) END AS line
+FROM ({plain(inputs.JSON_LINES)}) l WHERE trim(value) <> ''""",
     "page_flatten": f"""
 SELECT event_id, next_url, CAST(json_extract(e, '$.k') AS BIGINT) AS k
 FROM (SELECT event_id,

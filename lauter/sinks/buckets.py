@@ -10,8 +10,10 @@ which of its buckets have changed since it read them, merges its rows into those
 claims the number after. Nothing else is repeated, and no row of either is lost.
 
 Rows go to bucket ``xxhash64(key) mod buckets``. When a commit takes the mean bucket over
-twice ``ROWS_PER_BUCKET``, it writes the whole table into a multiple of the buckets; that
-happens each time the table has doubled, so it is paid for by the rows that came in.
+twice its size, it writes the whole table into a multiple of the buckets; that happens each
+time the table has doubled, so it is paid for by the rows that came in. Buckets have
+``ROWS_PER_BUCKET`` rows, but a table of fewer than ``SPREAD`` such buckets is cut into
+smaller ones, so that many tasks write it.
 """
 
 from __future__ import annotations
@@ -32,11 +34,12 @@ from lauter.sinks import paths
 log = logging.getLogger(__name__)
 
 ROWS_PER_BUCKET = 1_000_000
+SPREAD = 64
 # data of this many versions, and the names of many more: a writer that is late by fewer
 # versions finds its number taken
 VERSIONS_KEPT = 2
 NAMES_KEPT = 64
-VERSIONS = "_versions"
+VERSIONS, INCOMING = "_versions", "_incoming"
 BUCKET = "_bucket"
 
 
@@ -99,14 +102,21 @@ class BucketedTable:
     def upsert(self, rows: DataFrame, expected: int | None = None) -> int:
         """Merge rows that are unique on the key; returns their number.
 
-        ``expected`` is the number of rows if the caller knows it. The rows may be read
-        again after a conflict, so they must be the same each time.
+        ``expected`` is the number of rows, or a bound, if the caller knows one. The rows may
+        be read again after a conflict, so they must be the same each time.
         """
         seen = self.latest()
         if expected is None and not self._settled(seen):
             expected = rows.count()
         buckets = self._wanted(seen, expected or 0)
-        touched = self._touched(rows, buckets)
+        staged = f"{self.root}/{INCOMING}/{uuid.uuid4().hex}"
+        if buckets == seen.buckets > 1:
+            # which buckets a load touches is asked before it is merged: its rows are made once
+            rows.write.parquet(staged)
+            rows = self.spark.read.schema(rows.schema).parquet(staged)
+            touched = self._touched(rows, buckets)
+        else:
+            touched = set(range(buckets))
         written, loaded, fresh = self._merge(seen, rows, touched, buckets)
         while True:
             now = self.latest()
@@ -126,24 +136,27 @@ class BucketedTable:
             version = Version(now.number + 1, buckets, now.rows + fresh, kept | written)
             if self._claim(version):
                 self._drop_old(version)
+                paths.delete(self.spark, staged)
                 return loaded
 
+    def _rows_of(self, buckets: int) -> int:
+        """The size of a bucket in a table of so many: it grows with them up to the full one."""
+        return max(self.rows_per_bucket * min(buckets, SPREAD) // SPREAD, 1)
+
     def _settled(self, version: Version) -> bool:
         """True if no load of ordinary size changes the number of buckets."""
-        return bool(version.buckets) and version.rows < version.buckets * self.rows_per_bucket
+        return bool(version.buckets) and version.rows < version.buckets * self._rows_of(version.buckets)
 
     def _wanted(self, version: Version, more: int) -> int:
         rows, buckets = version.rows + more, max(version.buckets, 1)
-        if version.buckets and rows <= 2 * buckets * self.rows_per_bucket:
+        if version.buckets and rows <= 2 * buckets * self._rows_of(buckets):
             return buckets
-        while rows > buckets * self.rows_per_bucket:
+        while rows > buckets * self._rows_of(buckets):
             buckets *= 2
         return buckets
 
     def _touched(self, rows: DataFrame, buckets: int) -> set[int]:
         """At most one number per bucket."""
-        if buckets == 1:
-            return {0}
         return {r[0] for r in rows.select(self.bucket(buckets)).distinct().collect()}
 
     def _merge(
@@ -213,6 +226,7 @@ class BucketedTable:
                 continue
             inside = (f"{commit}/{n}" for n in paths.names(self.spark, f"{self.root}/{commit}"))
             lost += [f for f in inside if f"/{BUCKET}=" in f and f not in kept]
+        lost += [f"{INCOMING}/{n}" for n in paths.names(self.spark, f"{self.root}/{INCOMING}")]
         for name in lost:
             paths.delete(self.spark, f"{self.root}/{name}")
         return lost

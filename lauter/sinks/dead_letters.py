@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lauter.operators.rules import RECORD
+from lauter.operators.rules import PROBLEM, RECORD
 
 
 def dead_letter_rows(rejects: DataFrame, run_id: str, reason: Column) -> DataFrame:
     """``ts, run_id, reason, record``; ``record`` is the raw record itself."""
+    # a record too large for one VARIANT is kept as text, and so is what is no JSON value
+    text = F.col(RECORD).cast("variant")
+    record = F.coalesce(F.try_parse_json(RECORD), text)
+    if PROBLEM in rejects.columns:
+        record = F.when(F.col(PROBLEM) == "malformed_json", text).otherwise(record)
     return rejects.select(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("ts"),
         F.lit(run_id).alias("run_id"),
         reason.alias("reason"),
-        # a record too large for one VARIANT is kept as text
-        F.coalesce(F.try_parse_json(RECORD), F.col(RECORD).cast("variant")).alias("record"),
+        record.alias("record"),
     )
 
 

@@ -54,6 +54,16 @@ def read(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def head(spark: SparkSession, path: str, size: int) -> bytes:
+    """The first bytes of a file."""
+    fs, location = _open(spark, path)
+    stream = fs.open(location)
+    try:
+        return bytes(stream.readNBytes(size))
+    finally:
+        stream.close()
+
+
 def _write(spark: SparkSession, path: str, text: str) -> None:
     fs, location = _open(spark, path)
     stream = fs.create(location, True)

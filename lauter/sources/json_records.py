@@ -6,20 +6,18 @@ an absent key from an explicit null.
 
 from __future__ import annotations
 
-import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType, VariantType
 
 from lauter.functions.text import strip
-from lauter.operators.rules import ENTITIES, KIND, POSITION, RECORD
+from lauter.operators.rules import ENTITIES, KIND, POSITION, PROBLEM, RECORD
+from lauter.sources.json_scan import SURE_BYTES, page_udf, reduced_object
 from lauter.sources.tables import with_position
 
 VARIANT = "record"
-# no text of fewer bytes is too large for a VARIANT
-SURE_BYTES = 8 << 20
 
 
 def _kind(value: Column) -> Column:
@@ -31,12 +29,12 @@ def _kind(value: Column) -> Column:
 def _with_value(df: DataFrame, json: Column, out: str) -> DataFrame:
     """Add ``out``: the VARIANT of a text that is exactly one JSON value, else NULL.
 
-    The parser stops after the first complete value; a marker placed behind the
-    text shows that it got to the end. It is a hash of the text, which the text
-    cannot hold itself.
+    The parser stops after the first complete value; a marker placed behind the text
+    shows that it got to the end. The marker is drawn anew for every frame, so no text
+    can hold it.
     """
-    end = F.xxhash64(json).cast("string")
-    marked = F.try_parse_json(F.concat(F.lit("["), json, F.lit(',"'), end, F.lit('"]')))
+    end = uuid.uuid4().hex
+    marked = F.try_parse_json(F.concat(F.lit("["), json, F.lit(f',"{end}"]')))
     complete = F.try_variant_get("_marked", "$[1]", "string") == end
     value = F.when(complete, F.try_variant_get("_marked", "$[0]", "variant"))
     return df.withColumn("_marked", marked).withColumn(out, value).drop("_marked")
@@ -47,37 +45,47 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
     Blank lines vanish. ``problem`` is NULL for an object, otherwise
     ``malformed_json`` or ``not_an_object``; such lines are no records and do
-    not count as failures. A text that looks like an object but does not fit a VARIANT
-    is ``too_large``. ``_record`` is the line's text.
+    not count as failures. ``_record`` is the line's text. An object of more than
+    ``SURE_BYTES`` is read member by member; if it has members too large for a VARIANT,
+    ``record`` lacks those and ``problem`` is ``too_large``.
     """
     text = lines.withColumn(RECORD, strip(F.col(column))).where(F.col(RECORD) != "")
-    parsed = _with_value(text, F.col(RECORD), VARIANT).withColumn("_kind", _kind(F.col(VARIANT)))
-    large = F.octet_length(RECORD) > SURE_BYTES
-    objectlike = F.col(RECORD).startswith("{") & F.col(RECORD).endswith("}")
-    too_large = F.col("_kind").isNull() & large & objectlike
-    problem = F.when(too_large, "too_large").when(F.col("_kind").isNull(), "malformed_json").when(
-        F.col("_kind") != "OBJECT", "not_an_object"
+    large = F.when(F.octet_length(RECORD) > SURE_BYTES, F.col(RECORD))
+    scanned = text.withColumn("_scan", reduced_object(large))
+    whole = F.when(F.octet_length(RECORD) <= SURE_BYTES, F.col(RECORD)).otherwise(F.col("_scan.record"))
+    parsed = _with_value(scanned, whole, "_value")
+    # a text that is one value is an object if it begins like one
+    objectlike = F.col(RECORD).startswith("{")
+    problem = F.coalesce(
+        F.col("_scan.problem"),
+        F.when(F.col("_value").isNull(), "malformed_json").when(~objectlike, "not_an_object"),
     )
-    return parsed.withColumn("problem", problem).drop("_kind")
+    return parsed.withColumns(
+        {PROBLEM: problem, VARIANT: F.when(objectlike, F.col("_value"))}
+    ).drop("_scan", "_value")
 
 
-def line_records(lines: DataFrame) -> DataFrame:
+def line_records(lines: DataFrame, skipped: bool = False) -> DataFrame:
     """``record``, ``_record`` and ``_pos`` of the lines that hold an object.
 
-    A line too large for a VARIANT is a record without fields: rules reject it, so
-    that it is counted and its text kept with the dead letters. Exploding a one-item array instead of filtering on ``problem`` keeps the parse
-    out of a filter condition, so that each line is parsed once.
+    With ``skipped`` the other lines too, and every line's ``problem``: a load keeps them
+    with the dead letters without counting them. Exploding a one-item array instead of
+    filtering on ``problem`` keeps the parse out of a filter condition, so that each line
+    is parsed once.
     """
-    nothing = F.when(F.col("problem") == "too_large", F.parse_json(F.lit("{}")))
-    item = F.coalesce(F.col(VARIANT), nothing)
-    rows = _objects(parse_lines(lines), F.array(item), RECORD, POSITION)
-    return rows.select(VARIANT, RECORD, POSITION)
+    parsed = parse_lines(lines)
+    if skipped:
+        return parsed.select(VARIANT, RECORD, POSITION, PROBLEM)
+    item = F.when(F.col(VARIANT).isNotNull(), F.array(VARIANT))
+    return parsed.select(RECORD, POSITION, F.explode(item).alias(VARIANT)).select(VARIANT, RECORD, POSITION)
 
 
-def read_ndjson(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+def read_ndjson(
+    spark: SparkSession, path: str, encoding: str = "UTF-8", skipped: bool = False
+) -> DataFrame:
     """Every object of a newline-delimited file as ``record``, ``_record``, ``_pos``.
 
-    The scan is splittable; use :func:`parse_lines` to see the skipped lines.
+    The scan is splittable. ``skipped`` as for :func:`line_records`.
     """
     reader = spark.read
     if encoding.upper() == "UTF-8":
@@ -86,7 +94,7 @@ def read_ndjson(spark: SparkSession, path: str, encoding: str = "UTF-8") -> Data
         # the text source decodes UTF-8 only; CSV without separators decodes any
         reader = reader.option("encoding", encoding).option("sep", "\x01").option("quote", "")
         lines = reader.schema("value string").csv(path)
-    return line_records(with_position(lines))
+    return line_records(with_position(lines), skipped)
 
 
 def _explode_document(document: Column) -> tuple[Column, Column]:
@@ -152,62 +160,45 @@ def flatten_pages(
     the key is missing) and the link to the next page under ``next_key``; a list
     payload is the records. Other shapes, and items that are not objects, yield nothing.
 
-    A payload too large for a VARIANT is read record by record. If a record is too large
-    too, the page is one record without fields: rules reject it, so that it is counted
-    and its text kept with the dead letters.
+    A payload of more than ``SURE_BYTES`` is read record by record. A record that is itself
+    too large lacks the members that are; its ``_record`` is the whole text. A payload of
+    that size that is malformed is one record without fields: rules reject it, so that it
+    is counted and its text kept with the dead letters.
     """
+    text = F.col(payload)
+    large = F.when(F.octet_length(text) > SURE_BYTES, text)
+    scanned = pages.withColumn("_scan", page_udf(data_key, next_key)(large))
+    small = F.when(F.octet_length(text) <= SURE_BYTES, text)
     value, kind = F.col("_payload"), F.col("_payload_kind")
-    parsed = _with_value(pages, F.col(payload), "_payload").withColumn("_payload_kind", _kind(value))
-    items = F.when(kind == "ARRAY", value)
-    following = F.lit(None).cast("string")
+    parsed = _with_value(scanned, small, "_payload").withColumn("_payload_kind", _container(value, text))
+    items = F.when(kind == "[", value)
+    following = F.col("_scan.next_url")
     if data_key:
-        items = items.when(kind == "OBJECT", F.try_variant_get(value, _path(data_key), "variant"))
+        items = items.when(kind == "{", F.try_variant_get(value, _path(data_key), "variant"))
         if next_key:
             link = F.try_variant_get(value, _path(next_key), "string")
-            following = F.when((kind == "OBJECT") & (link != ""), link)
+            following = F.coalesce(following, F.when((kind == "{") & (link != ""), link))
     others = [c for c in pages.columns if c not in (payload, RECORD)]
-    items = F.try_variant_get(items, "$", "array<variant>")
-    large = F.when(kind.isNull() & (F.octet_length(payload) > SURE_BYTES), strip(F.col(payload)))
-    listed = parsed.select(*others, following.alias("next_url"), items.alias("_items"), large.alias("_large"))
-    listed = _with_large(listed, data_key, next_key)
-    rows = _objects(listed, F.col("_items"), *others, "next_url", "_text")
-    text = F.coalesce("_text", F.to_json(VARIANT))
-    return rows.select(*others, "next_url", VARIANT, text.alias(RECORD))
-
+    nothing = F.parse_json(F.lit("{}"))
+    lost = F.when(F.col("_scan.problem").isNotNull(), text)
+    read = F.transform(F.col("_scan.items"), lambda i: F.coalesce(F.try_parse_json(i["small"]), nothing))
+    listed = parsed.select(
+        *others,
+        following.alias("next_url"),
+        F.coalesce(
+            F.try_variant_get(items, "$", "array<variant>"), F.when(lost.isNotNull(), F.array(nothing)), read
+        ).alias("_items"),
+        F.when(lost.isNotNull(), F.array(lost)).otherwise(F.col("_scan.items.text")).alias("_texts"),
+    )
+    rows = _objects(listed, F.col("_items"), *others, "next_url", "_texts")
+    whole = F.coalesce(F.get("_texts", F.col("_index")), F.to_json(VARIANT))
+    return rows.select(*others, "next_url", VARIANT, whole.alias(RECORD))
 
-def _with_large(listed: DataFrame, data_key: str | None, next_key: str | None) -> DataFrame:
-    """Fill ``_items`` and ``next_url`` from ``_large``; ``_text`` is a page that cannot be read.
 
-    The text is read as the first of two items; the second one, a hash of the text, shows
-    that the text is one value and complete.
-    """
-    text, end = F.col("_large"), F.xxhash64("_large").cast("string")
-    options = {"allowSingleQuotes": "false"}
-    is_list, is_object = text.startswith("[") & text.endswith("]"), text.startswith("{") & text.endswith("}")
-    pair = F.concat(F.lit("["), F.when(is_list, text), F.lit(',["'), end, F.lit('"]]'))
-    listed = listed.withColumn("_list", F.from_json(pair, ArrayType(ArrayType(VariantType())), options))
-    whole = (F.size("_list") == 2) & (F.try_variant_get(F.col("_list")[1][0], "$", "string") == end)
-    found = F.when(whole, F.col("_list")[0])
-    following = F.col("next_url")
-    read = whole
-    if data_key:
-        mark = f"{data_key}{next_key}_end"
-        fields = [StructField(data_key, ArrayType(VariantType())), StructField(mark, StringType())]
-        if next_key and next_key != data_key:
-            fields.append(StructField(next_key, VariantType()))
-        pair = F.concat(F.lit("["), F.when(is_object, text), F.lit(f',{{{json.dumps(mark)}:"'), end, F.lit('"}]'))
-        listed = listed.withColumn("_object", F.from_json(pair, ArrayType(StructType(fields)), options))
-        first = F.col("_object")[0]
-        complete = (F.size("_object") == 2) & (F.col("_object")[1].getField(mark) == end)
-        found = found.when(complete, first.getField(data_key))
-        read = F.coalesce(whole, F.lit(False)) | F.coalesce(complete, F.lit(False))
-        if next_key and next_key != data_key:
-            link = F.try_variant_get(first.getField(next_key), "$", "string")
-            following = F.coalesce(following, F.when(complete & (link != ""), link))
-        is_list = is_list | is_object
-    lost = F.when(is_list & ~F.coalesce(read, F.lit(False)), text)
-    nothing = F.when(lost.isNotNull(), F.array(F.parse_json(F.lit("{}"))))
-    return listed.withColumns({"_items": F.coalesce("_items", found, nothing), "next_url": following, "_text": lost})
+def _container(value: Column, text: Column) -> Column:
+    """``[`` or ``{`` for a text that was read and begins so."""
+    first = F.substring(F.ltrim(text, F.lit(" \t\r\n")), 1, 1)
+    return F.when(value.isNotNull(), first)
 
 
 def _path(key: str) -> str:
@@ -227,7 +218,7 @@ def spread(records: DataFrame, fields: Sequence[str] | str, variant: str = VARIA
         value = F.col(f"_value_{name}")
         columns.append(F.try_variant_get(value, "$", "string").alias(name))
         columns.append(_kind(value).alias(f"{KIND}{name}"))
-    internal = [c for c in (RECORD, POSITION) if c in records.columns]
+    internal = [c for c in (RECORD, POSITION, PROBLEM) if c in records.columns]
     return records.withColumns(values).select(*internal, *columns)
 
 

@@ -14,6 +14,11 @@ from lauter.sinks import buckets as module
 from lauter.sinks.buckets import BucketedTable, Version
 
 
+@pytest.fixture(autouse=True)
+def plain_sizes(monkeypatch):
+    monkeypatch.setattr(module, "SPREAD", 1)
+
+
 @pytest.fixture
 def small(spark, tmp_path):
     """A warehouse whose tables have a bucket for every ten rows."""
@@ -198,10 +203,18 @@ def test_old_files_go_and_failed_loads_are_found(spark, small):
     with pytest.raises(RuntimeError):
         broken.upsert(small._stored(table.table, people(spark, [1], start=900)))
     assert len(small.table("customers").collect()) == 30
-    assert len(table.vacuum()) == 1 and table.vacuum() == []
+    lost = table.vacuum()
+    assert sorted(n.partition("/")[0] == "_incoming" for n in lost) == [False, True] and table.vacuum() == []
     assert {r.phone for r in small.table("customers").collect()} == {"4"}
 
 
+def test_small_tables_are_spread(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(module, "SPREAD", 64)
+    table = Warehouse(spark, str(tmp_path)).keyed("customers")
+    assert [table._wanted(Version(), n) for n in (1, 30_000, 400_000, 64_000_000, 10**9)] == [1, 2, 8, 64, 1024]
+    assert table._wanted(Version(1, 8, 500_000), 500_000) == 8 and table._wanted(Version(1, 8, 500_000), 10**7) == 32
+
+
 def test_versions_are_text(spark, small):
     version = Version(3, 2, 11, {0: "a/_bucket=0", 1: "b/_bucket=1"})
     assert Version.parse(3, version.text()) == version

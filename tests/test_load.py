@@ -172,7 +172,10 @@ def test_category_parent_survives_an_upsert(spark, warehouse):
     rows = spark.createDataFrame([(1, "Books", None), (2, "Novels", 1)], "id bigint, name string, parent_id bigint")
     warehouse.reserve_ids("categories", 2)
     warehouse.upsert("categories", rows)
-    run_entity(warehouse, spark.createDataFrame([("novels",)], "name string"), "categories")
+    novels = spark.createDataFrame([("novels",)], "name string")
+    with pytest.raises(ValueError, match="order"):
+        run_entity(warehouse, novels, "categories")
+    run_entity(warehouse, novels, "categories", order_by=["name"])
     assert values(warehouse.table("categories"), "name", F.coalesce("parent_id", F.lit(0))) == [
         ("Books", 0),
         ("Novels", 1),
@@ -204,7 +207,7 @@ def test_replayed_load_replaces_its_rows(spark, warehouse):
 def test_failed_run_is_audited(spark, warehouse):
     broken = spark.sql("SELECT raise_error('boom') name, 'a@b.co' email")
     with pytest.raises(Exception, match="boom"):
-        run_entity(warehouse, broken, "customers", source="broken")
+        run_entity(warehouse, broken, "customers", source="broken", order_by=["email"])
     [run] = warehouse.table("pipeline_runs").collect()
     assert run.source == "broken" and "boom" in run.error_log
     assert warehouse.table("customers").count() == 0
@@ -233,4 +236,4 @@ def test_summary():
     assert result.summary() == "run 12345678 of f.csv [in progress]"
     result.finished_at = datetime(2024, 1, 1, 0, 0, 2, 500000)
     result.rows_ingested, result.rows_failed, result.chunks_processed = 3, 1, 1
-    assert result.summary() == "run 12345678 of f.csv: 3 loaded, 1 rejected, 0 repeated, 1 chunks, 2.50s"
+    assert result.summary() == "run 12345678 of f.csv: 3 loaded, 1 rejected, 0 repeated, 0 skipped, 1 chunks, 2.50s"

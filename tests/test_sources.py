@@ -4,8 +4,13 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from lauter.sources import flatten_pages, parse_lines, read_csv, read_json, read_ndjson, read_parquet
+from hypothesis import given
+from hypothesis import strategies as st
+
+from lauter.plans.load import run_entity
+from lauter.sources import flatten_pages, json_scan, parse_lines, read_csv, read_json, read_ndjson, read_parquet
 from lauter.sources.json_records import line_records
+from lauter.sources.json_scan import Malformed, members, reduced
 
 
 def write(path, text, encoding="utf-8"):
@@ -91,14 +96,44 @@ def test_ndjson(spark, tmp_path):
     assert sorted(problems) == ["malformed_json"] * 3 + ["not_an_object"] * 2
 
 
-def test_ndjson_keeps_large_lines_and_sees_through_end_markers(spark):
-    large = '{"k": "' + "x" * (25 << 20) + '"}'
-    forged = ['{"a":1},"end-of-record"', '{"a":1},"end-of-record"] x']
-    frame = spark.createDataFrame([(t, i) for i, t in enumerate([large, *forged])], "value string, _pos int")
-    found = [(r["n"], r["_pos"]) for r in line_records(frame).select(F.length("_record").alias("n"), "_pos").collect()]
-    assert found == [(len(large), 0)]
-    problems = [r.problem for r in parse_lines(frame).select("problem").collect()]
-    assert problems == ["too_large", "malformed_json", "malformed_json"]
+def test_ndjson_loads_the_small_members_of_large_lines(spark):
+    filler = "x" * (25 << 20)
+    lines = [
+        '{"k": "' + filler + '", "name": "Ada", "n": [1, {"z": "}"}]}',
+        '{"name": "' + filler + '"',
+        '["' + filler + '"]',
+        '{"a":1},"end-of-record"',
+        '{"a":1},"end-of-record"] x',
+        '{"b": 2}',
+    ]
+    frame = spark.createDataFrame([(t, i) for i, t in enumerate(lines)], "value string, _pos int").repartition(3)
+    found = {r["_pos"]: r for r in parse_lines(frame).select("_pos", "problem", F.to_json("record").alias("r")).collect()}
+    assert [found[i]["problem"] for i in range(6)] == [
+        "too_large", "malformed_json", "not_an_object", "malformed_json", "malformed_json", None,
+    ]
+    assert [json.loads(r["r"]) if (r := found[i])["r"] else None for i in range(6)] == [
+        {"name": "Ada", "n": [1, {"z": "}"}]}, None, None, None, None, {"b": 2},
+    ]
+    records = line_records(frame).select("_pos", F.length("_record").alias("n")).orderBy("_pos").collect()
+    assert [tuple(r) for r in records] == [(0, len(lines[0])), (5, 8)]
+    assert line_records(frame, skipped=True).count() == 6
+
+
+def test_large_lines_are_loaded_and_skipped_ones_kept(spark, warehouse, tmp_path):
+    good = '{"name": "Ada", "email": "a@b.co", "notes": "' + "n" * (20 << 20) + '"}'
+    unfit = '{"name": "Ben", "email": "' + "e" * (20 << 20) + '"}'
+    path = write(tmp_path / "c.ndjson", "\n".join([good, unfit, "BROKEN", "[1]", '{"name": 7, "email": "c@b.co"}', ""]))
+    result = run_entity(warehouse, read_ndjson(spark, path, skipped=True), "customers")
+    assert (result.rows_ingested, result.rows_failed, result.rows_skipped) == (1, 2, 2)
+    assert [tuple(r) for r in warehouse.table("customers").select("name", "email").collect()] == [("Ada", "a@b.co")]
+    letters = spark.read.text(f"{result.dead_letter_path}/*").select(
+        F.get_json_object("value", "$.reason").alias("reason"), F.length("value").alias("n")
+    )
+    found = sorted(tuple(r) for r in letters.collect())
+    assert [r for r, _ in found] == [
+        "customer validation: email: missing", "customer validation: name: not a string", "malformed_json", "not_an_object",
+    ]
+    assert found[0][1] > 20 << 20
 
 
 def test_pages(spark):
@@ -123,13 +158,13 @@ def test_pages(spark):
     assert {n for n, _ in found(next_key=None)} == {None}
 
 
-def test_pages_too_large_for_a_variant(spark):
-    filler = "x" * (1 << 20)
+def test_large_pages_are_read_record_by_record(spark):
+    filler = "x" * (1 << 19)
     items = ",".join(f'{{"k": {i}, "f": "{filler}"}}' for i in range(25))
     huge = "y" * (25 << 20)
     payloads = [
-        f'{{"results": [{items}, 7], "next": "/p2"}}', f" [{items}]", f'{{"data": [{items}]}}', f'[{items}], [1]',
-        f'{{"results": [{{"k": "{huge}"}}], "next": "/p3"}}',
+        f'{{"results": [{items}, 7], "next": "/p2"}}', f" [{items}]", f'{{"data": [{items}]}}', f"[{items}], [1]",
+        f'{{"results": [{{"k": 1}}, {{"f": "{huge}", "k": 2}}, {{"k": 3}}], "next": "/p3"}}', f'"{huge}"',
     ]
     frame = spark.createDataFrame(list(enumerate(payloads)), "page int, payload string").repartition(5)
     flat = flatten_pages(frame, "payload")
@@ -137,9 +172,55 @@ def test_pages_too_large_for_a_variant(spark):
     found = [tuple(r) for r in flat.select("page", "next_url", k, F.length("_record")).collect()]
     size = len(filler) + len('{"k":0,"f":""}')
     assert sorted((p, n, i) for p, n, i, _ in found if p < 2) == [(0, "/p2", i) for i in range(25)] + [(1, None, i) for i in range(25)]
-    assert all(size <= m <= size + 1 for p, _, _, m in found if p < 2)
-    # what cannot be read is one record without fields that keeps its text
-    assert sorted(r for r in found if r[0] >= 2) == [(3, None, None, len(payloads[3])), (4, None, None, len(payloads[4]))]
+    assert all(size <= m <= size + 5 for p, _, _, m in found if p < 2)
+    # a malformed page is one record without fields that keeps its text; a record with a
+    # member that is too large keeps the others, and its page's other records are whole
+    assert sorted(r for r in found if r[0] == 3) == [(3, None, None, len(payloads[3]))]
+    last = sorted((r for r in found if r[0] == 4), key=lambda r: r[2])
+    assert [r[1:3] for r in last] == [("/p3", 1), ("/p3", 2), ("/p3", 3)] and last[1][3] > len(huge)
+    assert not [r for r in found if r[0] in (2, 5)]
+
+
+JSONS = st.recursive(
+    st.none() | st.booleans() | st.integers() | st.floats(allow_nan=False, allow_infinity=False) | st.text(max_size=5),
+    lambda inner: st.lists(inner, max_size=3) | st.dictionaries(st.text(max_size=3), inner, max_size=3),
+    max_leaves=10,
+)
+
+
+@given(JSONS, st.booleans(), st.sampled_from([None, 2]))
+def test_members_of_any_value(value, ascii_only, indent):
+    text = json.dumps(value, ensure_ascii=ascii_only, indent=indent)
+    first, found = members(f" {text}\n")
+    assert first == text[0]
+    got = [(key, json.loads(f" {text}\n"[begin:end])) for key, begin, end in found]
+    items = value.items() if isinstance(value, dict) else [(None, v) for v in value] if isinstance(value, list) else []
+    assert got == list(items)
+
+
+@given(st.text(st.sampled_from('{}[],:"\\ a1.-eutrnlf'), max_size=12))
+def test_members_refuse_what_json_refuses(text):
+    try:
+        json.loads(text, parse_constant=lambda c: 1 / 0)
+        right = True
+    except (ValueError, ZeroDivisionError):
+        right = False
+    try:
+        members(text)
+        assert right
+    except Malformed:
+        assert not right
+
+
+def test_reduced_objects(monkeypatch):
+    monkeypatch.setattr(json_scan, "MEMBER_BYTES", 10)
+    monkeypatch.setattr(json_scan, "SURE_BYTES", 200)
+    small = '{"a":1,"b":[2,3],"a":4}'
+    assert reduced(small) == ('{"a":4,"b":[2,3]}', None)
+    assert reduced('{"long": "' + "x" * 50 + '", "b": true}') == ('{"b":true}', "too_large")
+    text, problem = reduced("{" + ",".join(f'"k{i}":{10**i}' for i in range(8)) + "}")
+    assert problem == "too_large" and json.loads(text) == {f"k{i}": 10**i for i in range(len(json.loads(text)))}
+    assert reduced("[1]") == (None, "not_an_object") and reduced("{") == (None, "malformed_json")
 
 
 def test_parquet_projection_reaches_the_scan(spark, tmp_path):

@@ -25,7 +25,7 @@ def test_customers_stream_later_files_win(spark, warehouse, tmp_path):
 
 def test_replayed_batch_appends_once(spark, warehouse, tmp_path):
     run_entity(
-        warehouse, spark.sql("SELECT 'Ada' name, 'a@b.co' email"), "customers"
+        warehouse, spark.sql("SELECT 'Ada' name, 'a@b.co' email"), "customers", order_by=["email"]
     )
     landing = tmp_path / "in"
     landing.mkdir()
