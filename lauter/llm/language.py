@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,7 +27,8 @@ from pyspark.sql.window import Window
 from lauter.llm.common import crc_mod
 
 PER_LANGUAGE = 2_000
-MOST_GRAMS = 200_000
+MOST_GRAMS = 200_000  # of one language
+TOGETHER = 1 << 18  # code points
 SWITCH = 12.0
 STRANGE = 40.0
 UNKNOWN = "und"
@@ -66,6 +68,19 @@ def lowered(text: str) -> str:
     return low
 
 
+def portions(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts have some ``TOGETHER`` code points: what is made of them has tens of
+    bytes per code point. A longer text is alone."""
+    sizes = pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    sizes = np.cumsum(sizes.astype(np.int64))
+    begin = 0
+    while begin < batch.num_rows:
+        done = sizes[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(sizes, done + TOGETHER, side="right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 @dataclass
 class Words:
     """The words of several texts, one after the other."""
@@ -119,11 +134,11 @@ class Model:
 def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarray:
     """The best label per word; ``lengths`` are words per text, texts one after the other."""
     n, k = scores.shape
-    labels = np.zeros(n, np.int8)
+    labels = np.zeros(n, np.int32)
     order = np.argsort(-lengths, kind="stable")
     first = (np.cumsum(lengths) - lengths)[order]
     lengths = lengths[order]
-    best_before = np.zeros(n, np.int8)
+    best_before = np.zeros(n, np.int32)
     stays = np.ones((n, k), bool)
     value = np.zeros((len(lengths), k))
     steps = int(lengths.max(initial=0))
@@ -139,7 +154,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
             stays[at] = stay
             now = np.where(stay, now, best[:, None])
         value[:rows] = now + scores[at]
-    label = value.argmax(1).astype(np.int8)
+    label = value.argmax(1).astype(np.int32)
     for step in range(steps - 1, -1, -1):
         rows = active[step]
         at = first[:rows] + step
@@ -163,9 +178,9 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_langua
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = letters.value
-        for batch in batches:
-            langs = np.array(batch.column("lang").to_pylist(), object)
-            texts = np.array(batch.column("t").to_pylist(), object)
+        for some in (some for batch in batches for some in portions(batch, 1)):
+            langs = np.array(some.column(0).to_pylist(), object)
+            texts = np.array(some.column(1).to_pylist(), object)
             for lang in sorted(set(langs)):
                 words = words_of(list(texts[langs == lang]), table)
                 inside = table[words.code] == 1
@@ -186,7 +201,8 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_langua
 
     counted = sample.mapInArrow(count, "lang string, kind int, what long, n long")
     counted = counted.groupBy("lang", "kind", "what").agg(F.sum("n").alias("n"))
-    counted = counted.orderBy(F.desc("kind"), F.desc("n"), "lang", "what").limit(MOST_GRAMS).toPandas()
+    frequent = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "what")
+    counted = counted.withColumn("r", F.row_number().over(frequent)).where(F.col("r") <= MOST_GRAMS).toPandas()
     languages = sorted(set(counted["lang"]))
     if not languages:
         return None
@@ -223,14 +239,13 @@ def label_languages(
     """
     model = learn(train, id_col, text_col, lang_col, per_language)
     spark = docs.sparkSession
-    # at most MOST_GRAMS rows of one number per language, and one byte per code point
+    # at most MOST_GRAMS rows for each language, and one byte per code point
     held = spark.sparkContext.broadcast((model, letter_table()))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, letters = held.value
         for batch in batches:
-            for begin in range(0, batch.num_rows, 4_000):
-                some = batch.slice(begin, 4_000)
+            for some in portions(batch, 1):
                 texts = [t or "" for t in some.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), *_labelled(texts, model, letters, switch)],
