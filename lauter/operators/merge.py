@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # monotonically_increasing_id() keeps the partition in the bits above these
-_PARTITION_SHIFT = 33
+PARTITION_SHIFT = 33
 ROW_NUMBER = "_mid"
 LOADED, NEW_KEY = "_loaded", "_new_key"
 
@@ -21,8 +21,8 @@ def number_rows(staged: DataFrame, base: int, out: str = "id") -> DataFrame:
     the job that wrote ``staged``; they are added up on the driver, so that their size is
     known to the planner, which broadcasts them or not.
     """
-    task = F.shiftrightunsigned(F.col(ROW_NUMBER), _PARTITION_SHIFT)
-    index = F.col(ROW_NUMBER).bitwiseAND((1 << _PARTITION_SHIFT) - 1)
+    task = F.shiftrightunsigned(F.col(ROW_NUMBER), PARTITION_SHIFT)
+    index = F.col(ROW_NUMBER).bitwiseAND((1 << PARTITION_SHIFT) - 1)
     sizes = staged.groupBy(task.alias("_task")).agg((F.max(index) + 1).alias("_size")).collect()
     offsets, total = [], base
     for number, size in sorted(map(tuple, sizes)):

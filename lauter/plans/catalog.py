@@ -34,7 +34,7 @@ from lauter.sources import (
     read_parquet,
 )
 from lauter.sources.json_records import VARIANT, parse_documents
-from lauter.streaming import stream_entity, stream_ndjson
+from lauter.streaming import stream_entity, stream_ndjson, stream_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -406,6 +406,43 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return _stored_orders(warehouse)
 
 
+@query
+def stream_parquet_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders as a stream of Parquet files, compacted on the way."""
+    warehouse = _warehouse(spark, "stream")
+    customers, orders = _given(spark, folder, inputs.RAW_CUSTOMERS, inputs.RAW_ORDERS)
+    run_entity(warehouse, customers, "customers", order_by=["pos"])
+    landing = warehouse.path("landing")
+    orders.repartition(6).write.parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    stream_entity(
+        warehouse, stream_parquet(spark, landing, schema, files_per_batch=2), "orders", run_id="stream",
+        checkpoint=warehouse.path("checkpoint"), schema=schema, compact_every=2,
+    ).awaitTermination()
+    return _stored_orders(warehouse)
+
+
+@query
+def ingested_by_source_entity(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per source and entity, as the steps of the runs noted them."""
+    warehouse = _warehouse(spark, "steps")
+    customers, orders = _given(spark, folder, inputs.RAW_CUSTOMERS, inputs.RAW_ORDERS)
+    run_entity(warehouse, customers, "customers", source="crm", order_by=["pos"])
+    run_entity(warehouse, orders, "orders", source="shop", order_by=["pos"])
+    run_entity(warehouse, orders, "orders", source="shop", order_by=["pos"])
+    labels = ["source", "entity", "status"]
+    ingested = report.counters(warehouse.steps(), labels, "rows_ingested", "rows_ingested_total")
+    return ingested.join(report.counters(warehouse.steps(), labels, "rows_failed", "rows_failed_total"), labels)
+
+
+@query
+def batch_duration_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    """Durations of batches per source, entity and status (A14): every event is a batch that
+    took as many tenths of a second as its value."""
+    [steps] = _given(spark, folder, inputs.STEPS)
+    return report.duration_histogram(steps, ("source", "entity", "status"), report.BATCH_BUCKETS)
+
+
 @query
 def dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = _warehouse(spark, "rejects")

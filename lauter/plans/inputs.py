@@ -176,6 +176,17 @@ FROM {events}
 GROUP BY user_id, CAST(ts AS DATE)
 """
 
+# A batch per event: its value in tenths of a second is how long it took.
+STEPS = """
+SELECT concat('feed-', CAST(user_id % 5 AS STRING)) AS source,
+  CASE WHEN event_id % 2 = 0 THEN 'orders' ELSE 'customers' END AS entity,
+  CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status,
+  ts AS started_at,
+  CASE WHEN event_id % 50 = 0 THEN NULL
+    ELSE ts + CAST(floor(value * 100) AS INT) * INTERVAL '1' MILLISECOND END AS finished_at
+FROM {events}
+"""
+
 # JSON as it lands: objects, arrays, broken and blank lines.
 JSON_LINES = """
 SELECT event_id,

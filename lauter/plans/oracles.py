@@ -402,6 +402,25 @@ SELECT {_title(_cleaned('category'))}, NULL FROM ({plain(inputs.RAW_PRODUCTS)})
 WHERE {_cleaned('category')} IS NOT NULL""",
     "append_orders": STORED_ORDERS,
     "stream_ingest": STORED_ORDERS,
+    "stream_parquet_ingest": STORED_ORDERS,
+    "ingested_by_source_entity": f"""
+SELECT 'crm' AS source, 'customers' AS entity, 'success' AS status,
+  (SELECT count(*) FROM ({FIRST_CUSTOMERS}) c) AS rows_ingested_total,
+  (SELECT count(*) FROM ({CUSTOMERS}) c WHERE errors <> '') AS rows_failed_total
+UNION ALL
+SELECT 'shop', 'orders', 'success', 2 * count(CASE WHEN reason IS NULL THEN 1 END),
+  2 * count(CASE WHEN reason IS NOT NULL THEN 1 END)
+FROM ({RESOLVED_ORDERS}) o""",
+    "batch_duration_histogram": f"""
+WITH timed AS (
+  SELECT source, entity, status, datediff('microsecond', started_at, finished_at) / 1e6 AS s
+  FROM ({plain(inputs.STEPS)}) r WHERE finished_at IS NOT NULL
+), bars AS (
+  SELECT le, le_name FROM (VALUES (0.01, '0.01'), (0.05, '0.05'), (0.1, '0.1'), (0.5, '0.5'),
+    (1, '1.0'), (5, '5.0'), (10, '10.0'), (30, '30.0'), (1e300, '+Inf')) b(le, le_name)
+)
+SELECT t.source, t.entity, t.status, b.le_name AS le, count(CASE WHEN t.s <= b.le THEN 1 END) AS runs
+FROM timed t CROSS JOIN bars b GROUP BY t.source, t.entity, t.status, b.le_name""",
     "dead_letters": f"""
 SELECT 'customer validation: ' || errors AS reason, pos FROM ({CUSTOMERS}) v
 WHERE errors <> ''""",

@@ -113,6 +113,24 @@ TABLES = {
     )
 }
 
+# metrics of runs: one row per entity a load was given, kept apart from the tables
+STEPS = Table(
+    "_steps",
+    _schema(
+        run_id=T.StringType(),
+        batch=T.StringType(),
+        source=T.StringType(),
+        entity=T.StringType(),
+        status=T.StringType(),
+        rows_ingested=T.LongType(),
+        rows_failed=T.LongType(),
+        rows_skipped=T.LongType(),
+        chunks=T.LongType(),
+        started_at=T.TimestampNTZType(),
+        finished_at=T.TimestampNTZType(),
+    ),
+)
+
 # (child table, foreign key, parent table), all referring to the parent's id
 FOREIGN_KEYS = (
     ("categories", "parent_id", "categories"),

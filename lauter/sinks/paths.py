@@ -64,7 +64,14 @@ def head(spark: SparkSession, path: str, size: int) -> bytes:
         stream.close()
 
 
-def _write(spark: SparkSession, path: str, text: str) -> None:
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    fs, location = _open(spark, path)
+    return fs.getContentSummary(location).getLength()
+
+
+def write(spark: SparkSession, path: str, text: str) -> None:
+    """A file with this text, in place of another one of its name."""
     fs, location = _open(spark, path)
     stream = fs.create(location, True)
     try:
@@ -83,7 +90,7 @@ def publish(spark: SparkSession, path: str, text: str = "") -> bool:
     """
     folder, _, name = path.rpartition("/")
     draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
-    _write(spark, draft, text)
+    write(spark, draft, text)
     fs, source = _open(spark, draft)
     if fs.getScheme() == "file":
         here = spark._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()

@@ -8,12 +8,15 @@ folder ``load_id=<id>`` per load, so replaying a load replaces its own rows.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lauter.schemas import TABLES, Table
+from lauter.schemas import STEPS, TABLES, Table
 from lauter.sinks import paths
+from lauter.sinks.appends import AppendedTable
 from lauter.sinks.buckets import NAMES_KEPT, ROWS_PER_BUCKET, BucketedTable
 
 _IDS = "_ids"
@@ -52,13 +55,16 @@ class Warehouse:
     def keyed(self, name: str) -> BucketedTable:
         return BucketedTable(self.spark, self.path(name), TABLES[name], self.rows_per_bucket)
 
+    def appended(self, name: str) -> AppendedTable:
+        return AppendedTable(self.spark, self.path(name), TABLES[name])
+
     def table(self, name: str) -> DataFrame:
         table = TABLES[name]
         if table.keyed:
             rows = self.keyed(name).read()
             return _no_rows(self.spark, table.schema) if rows is None else rows
-        loads = T.StructType([*table.schema.fields, T.StructField("load_id", T.StringType())])
-        return self.spark.read.schema(loads).parquet(self.path(name)).drop("load_id")
+        rows = self.appended(name).read()
+        return _no_rows(self.spark, table.schema) if rows is None else rows
 
     # -- ids -----------------------------------------------------------------
 
@@ -83,15 +89,30 @@ class Warehouse:
                     paths.delete(self.spark, f"{folder}/{old}")
                 return base
 
+    # -- metrics -------------------------------------------------------------
+
+    def save_steps(self, load_id: str, steps: list[dict]) -> None:
+        """What the steps of one load did, as JSON lines; a load that is done again replaces
+        its own."""
+        lines = "".join(json.dumps(step, default=str) + "\n" for step in steps)
+        paths.write(self.spark, self.path(STEPS.name, f"{load_id}.json"), lines)
+
+    def steps(self) -> DataFrame:
+        """One row per entity and batch of all runs: counts, status and times."""
+        folder = self.path(STEPS.name)
+        if not paths.exists(self.spark, folder):
+            return _no_rows(self.spark, STEPS.schema)
+        return self.spark.read.schema(STEPS.schema).json(folder)
+
     # -- writing -------------------------------------------------------------
 
     def append(self, name: str, rows: DataFrame, load_id: str) -> None:
         """Add the rows of one load (K1); the same ``load_id`` replaces its rows."""
-        table = TABLES[name]
-        rows = self._stored(table, rows)
-        if table.cluster_by:
-            rows = rows.sortWithinPartitions(*table.cluster_by)
-        rows.write.mode("overwrite").parquet(self.path(name, f"load_id={load_id}"))
+        self.appended(name).append(self._stored(TABLES[name], rows), load_id)
+
+    def compact(self, name: str, at_least: int = 2) -> int:
+        """Merge the small files of an append table's loads; returns how many were merged."""
+        return self.appended(name).compact(at_least)
 
     def upsert(self, name: str, rows: DataFrame, expected: int | None = None) -> int:
         """Merge rows that are unique on the table's key (K2) and return their number.

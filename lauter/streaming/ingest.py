@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lauter.plans.load import Run
+from lauter.schemas import TABLES
 from lauter.sinks.warehouse import Warehouse
 from lauter.sources.json_records import line_records
 from lauter.sources.tables import with_position
@@ -31,12 +32,14 @@ def stream_csv(
 ) -> DataFrame:
     """New header-CSV files of a folder, every column a string.
 
-    ``multiline`` as for :func:`lauter.sources.read_csv`.
+    ``multiline`` as for :func:`lauter.sources.read_csv`. A file whose header is not
+    ``columns`` fails the batch.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     return with_position(
         spark.readStream.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("sep", delimiter)
         .option("escape", '"')
         .option("multiLine", multiline)
@@ -51,6 +54,38 @@ def stream_ndjson(spark: SparkSession, path: str, *, files_per_batch: int = 1) -
     return line_records(with_position(lines))
 
 
+def stream_parquet(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    *,
+    files_per_batch: int = 1,
+) -> DataFrame:
+    """New Parquet files of a folder, a bounded number per batch.
+
+    ``schema`` is by default that of the files there now. Files of another schema fail the
+    batch if :func:`stream_entity` is given the same ``schema``.
+    """
+    schema = spark.read.parquet(path).schema if schema is None else schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return with_position(stream.parquet(path))
+
+
+def refuse_other_schemas(spark: SparkSession, files: list[str], schema: T.StructType) -> None:
+    """Raise if a Parquet file has other columns or types than ``schema``.
+
+    Parquet readers fill absent columns with NULL and pass over others, so that a renamed
+    column would go unnoticed. Reads the footers of a batch's files, whose number
+    ``files_per_batch`` bounds.
+    """
+    expected = {f.name: f.dataType.simpleString() for f in schema.fields}
+    for path in sorted(files):
+        found = {f.name: f.dataType.simpleString() for f in spark.read.parquet(path).schema.fields}
+        if found != expected:
+            odd = sorted(set(found.items()) ^ set(expected.items()))
+            raise ValueError(f"{path} has another schema: {', '.join(' '.join(o) for o in odd)}")
+
+
 def stream_entity(
     warehouse: Warehouse,
     raw: DataFrame,
@@ -60,17 +95,24 @@ def stream_entity(
     checkpoint: str,
     source: str | None = None,
     once: bool = True,
+    schema: T.StructType | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Load a raw stream batch by batch; ``run_id`` must stay the same across restarts.
 
     ``once`` processes what is there and stops; otherwise the query keeps running.
-    Every batch has its own audit row.
+    Every batch has its own audit row and its own step. ``schema`` is what files of a
+    Parquet stream must have. With ``compact_every`` an append table is compacted each time
+    so many batches were loaded.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         with Run(warehouse, source or entity, run_id=run_id, batch=str(batch_id)) as run:
+            if schema is not None:
+                run.examine = lambda files: refuse_other_schemas(batch.sparkSession, files, schema)
             run.load(batch, entity)
-            run.result.chunks_processed = 1
+        if compact_every and not TABLES[entity].keyed and (batch_id + 1) % compact_every == 0:
+            warehouse.compact(entity)
 
     writer = raw.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
