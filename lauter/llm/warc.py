@@ -19,7 +19,7 @@ import gzip
 import hashlib
 import io
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -125,21 +125,25 @@ _MANIFEST = pa.schema(
 _MANIFEST_SQL = "file string, shard long, records long, bytes long, sha1 string"
 
 
-def _with_shards(rows: DataFrame, shard_bytes: int) -> DataFrame:
-    """Adds ``shard``: ranges of ids of about ``shard_bytes`` payload each.
+def _shards(rows: DataFrame, shard_bytes: int) -> Callable[[DataFrame], DataFrame]:
+    """Adds ``shard`` to a frame: ranges of ids of about ``shard_bytes`` payload each.
 
     Ids are counted in at most ``CELLS`` equal cells between the smallest and the largest
-    (null is the first), so the cut depends on the rows alone, not on how they lie.
+    (null is the first), so the cut depends on ``rows`` alone, not on how they lie.
     """
     ends = rows.select(F.min("page").alias("low"), F.max("page").alias("high"))
     wide = "greatest(cast(high as decimal(20)) - low + 1, 1)"
     cell = F.expr(f"coalesce(cast(floor(({CELLS} - 1) * ((cast(page as decimal(20)) - low) / {wide})) + 1 as int), 0)")
-    celled = rows.crossJoin(F.broadcast(ends)).withColumn("cell", cell).drop("low", "high")  # one row
-    cells = celled.groupBy("cell").agg(F.sum("size").alias("held"))
+
+    def celled(frame: DataFrame) -> DataFrame:
+        return frame.crossJoin(F.broadcast(ends)).withColumn("cell", cell).drop("low", "high")  # one row
+
+    cells = celled(rows).groupBy("cell").agg(F.sum("size").alias("held"))
     upto = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
     before = F.sum("held").over(upto) - F.col("held")
-    cells = cells.select("cell", F.floor(before / shard_bytes).cast("long").alias("shard"))
-    return celled.join(F.broadcast(cells), "cell").drop("cell")  # at most CELLS + 1 rows
+    cells = written(cells.select("cell", F.floor(before / shard_bytes).cast("long").alias("shard")), "shards")
+    # at most CELLS + 1 rows
+    return lambda frame: celled(frame).join(F.broadcast(cells), "cell").drop("cell")
 
 
 def write_warc(
@@ -170,11 +174,20 @@ def write_warc(
         F.min(F.struct(F.coalesce("page", F.lit(-(2**63))), "page", F.coalesce("url", F.lit("")))).alias("first"),
         F.count("*").alias("same"),
     )
-    firsts = firsts.where("same > 1").select("sha", "size", F.col("first.page").alias("refers_to"), F.lit(True).alias("found"))
-    ready = plain.withColumn("sha", F.sha1("payload")).withColumn("size", F.octet_length("payload").cast("long"))
-    ready = _with_shards(ready.join(firsts, ["sha", "size"], "left"), shard_bytes)
+    firsts = firsts.where("same > 1").select("sha", "size", F.col("first.page").alias("refers_to"))
+    sharded = _shards(keyed, shard_bytes)
+    # payloads travel once, to their shard; what is decided about those that occur more than
+    # once travels beside them and is read just before
+    none = F.lit(None)
+    decisions = keyed.join(firsts, ["sha", "size"]).select(
+        "page", "url", none.cast("binary").alias("payload"), "sha", "refers_to", F.lit(True).alias("found")
+    )
+    payloads = plain.select(
+        "page", "url", "payload", F.sha1("payload").alias("sha"), none.cast("long").alias("refers_to"), F.lit(False).alias("found")
+    )
+    ready = sharded(decisions.unionAll(payloads))
     # a shard lies in one task; within it records are in order
-    sort = ["shard", F.col("page").asc_nulls_first(), F.col("url").asc_nulls_first(), "sha"]
+    sort = ["shard", F.col("page").asc_nulls_first(), F.col("url").asc_nulls_first(), "sha", F.desc("found")]
     ordered = ready.select("shard", "page", "url", "payload", "refers_to", "found", "sha")
     ordered = ordered.repartitionByRange("shard").sortWithinPartitions(*sort)
 
@@ -184,11 +197,16 @@ def write_warc(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = f"{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex[:8]}"
         writer, before, copy = None, object(), 0
+        decided, first = None, None
         started: set[str] = set()
         done: list[tuple] = []
         for batch in batches:
             for shard, page, url, payload, refers_to, found, sha in zip(*batch.columns, strict=True):
-                shard, page, sha = shard.as_py(), page.as_py(), sha.as_py()
+                shard, page, sha, url = shard.as_py(), page.as_py(), sha.as_py(), url.as_py()
+                if found.as_py():
+                    decided, first = (page, url, sha), refers_to.as_py()
+                    continue
+                repeated = decided == (page, url, sha)
                 if writer is None or writer.shard != shard:
                     if writer:
                         writer.close()
@@ -197,10 +215,10 @@ def write_warc(
                 copy = copy + 1 if before == page else 0
                 if before != page:
                     before, started = page, set()
-                revisit = found.as_py() is not None and (refers_to.as_py() != page or sha in started)
-                if found.as_py() is not None:
+                revisit = repeated and (first != page or sha in started)
+                if repeated:
                     started.add(sha)  # of repeated ids the first is the response
-                writer.add(record(page, url.as_py(), payload.as_py(), refers_to.as_py(), revisit, copy))
+                writer.add(record(page, url, payload.as_py(), first if repeated else None, revisit, copy))
         if writer:
             writer.close()
             done += writer.done
