@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HIGH_NULL_RATE = 0.5
+LG_SKETCH = 12
+# 1.04 / sqrt(2 ** LG_SKETCH)
+SKETCH_ERROR = 0.0163
 
 
 def column_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -64,7 +67,15 @@ def profile_table(
     """
     chosen = [c for c in df.columns if c != "id"] if columns is None else list(columns)
     counts = (column_counts_approx if approximate else column_counts)(df, chosen)
-    wanted = df.sparkSession.createDataFrame(list(enumerate(chosen)), "position int, column string")
+    return profile_of_counts(counts, table, ingested_rows, chosen)
+
+
+def profile_of_counts(
+    counts: DataFrame, table: str, ingested_rows: int, columns: Sequence[str]
+) -> DataFrame:
+    """The profile from ``column, total_rows, null_count, distinct_count``."""
+    spark = counts.sparkSession
+    wanted = spark.createDataFrame(list(enumerate(columns)), "position int, column string")
     filled = wanted.join(counts, "column", "left").na.fill(
         0, ["total_rows", "null_count", "distinct_count"]
     )
@@ -84,6 +95,44 @@ def profile_table(
     )
 
 
+def column_sketches(df: DataFrame, columns: Sequence[str], *by: str) -> DataFrame:
+    """``column, total_rows, null_count, sketch`` per group of ``by``, in one pass.
+
+    The sketch of a column's distinct values has at most ``2 ** LG_SKETCH`` bytes and can be
+    merged with others. Values are compared as text, as :func:`column_counts` does.
+    """
+    measures = [F.count("*").alias("total")]
+    for i, c in enumerate(columns):
+        value = F.col(f"`{c}`").cast("string")
+        measures += [
+            F.count_if(value.isNull()).alias(f"nulls_{i}"),
+            F.hll_sketch_agg(value, F.lit(LG_SKETCH)).alias(f"sketch_{i}"),
+        ]
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.col("total").alias("total_rows"),
+            F.col(f"nulls_{i}").alias("null_count"),
+            F.col(f"sketch_{i}").alias("sketch"),
+        )
+        for i, c in enumerate(columns)
+    ]
+    return df.groupBy(*by).agg(*measures).select(*by, F.inline(F.array(*rows)))
+
+
+def merged_counts(sketches: DataFrame) -> DataFrame:
+    """The counts of :func:`column_counts` from sketches of parts of a table.
+
+    Rows and nulls are exact. The standard error of the distinct count is
+    ``SKETCH_ERROR`` of it; few values are counted exactly.
+    """
+    return sketches.groupBy("column").agg(
+        F.sum("total_rows").alias("total_rows"),
+        F.sum("null_count").alias("null_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_count"),
+    )
+
+
 def _rate(count: str) -> Column:
     return F.coalesce(F.try_divide(F.col(count), F.col("total_rows")), F.lit(0.0))
 

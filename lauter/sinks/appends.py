@@ -53,10 +53,14 @@ class AppendedTable:
         taken = set(latest.loads)
         return [n for n in found if n.removeprefix(LOAD) not in taken]
 
+    def folders(self) -> list[str]:
+        """The folders that hold the table's rows."""
+        latest = self._latest()
+        return [*latest.folders, *self._loads(latest)]
+
     def read(self) -> DataFrame | None:
         """All rows; None before the first load."""
-        latest = self._latest()
-        return self._rows([*latest.folders, *self._loads(latest)])
+        return self._rows(self.folders())
 
     def _rows(self, folders: list[str]) -> DataFrame | None:
         if not folders:

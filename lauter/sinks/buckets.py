@@ -94,6 +94,10 @@ class BucketedTable:
             return None
         return self.spark.read.schema(self.table.schema).parquet(*folders)
 
+    def folders(self) -> list[str]:
+        """The folders that hold the newest version's rows."""
+        return sorted(self.latest().folders.values())
+
     def bucket(self, buckets: int) -> Column:
         return F.pmod(F.xxhash64(*self.table.key), F.lit(buckets)).cast("int")
 
