@@ -255,24 +255,24 @@ def _reasons(label: str, checked: str) -> str:
 
 _ORDER_FILE = plain(catalog.ORDER_FILE)
 _FILE_ORDERS = _orders(
-    "SELECT row_number() OVER () AS pos, customer_email, status, total_amount, ordered_at, "
-    "product_sku, quantity, unit_price FROM (" + catalog.ORDER_FILE + ") f "
-    "WHERE customer_email <> ''"
+    "SELECT n AS pos, customer_email, status, total_amount, ordered_at "
+    "FROM (" + catalog.ORDER_FILE + ") f WHERE customer_email <> ''"
 )
 _FILE_CUSTOMERS = _customers(
-    "SELECT 1 AS pos, customer_name AS name, customer_email AS email, customer_phone AS phone "
+    "SELECT n AS pos, customer_name AS name, customer_email AS email, customer_phone AS phone "
     "FROM (" + catalog.ORDER_FILE + ") f WHERE customer_email <> ''"
 )
-# rows of the file that give an order, with their item columns
 _FILE_ITEMS = _items(
-    "SELECT CAST(row_number() OVER () AS STRING) AS order_index, 0 AS line, product_sku, "
-    "quantity, unit_price FROM (" + catalog.ORDER_FILE + ") f "
-    f"WHERE customer_email <> '' AND try_strptime(ordered_at, {_FORMATS}) IS NOT NULL "
-    "AND TRY_CAST(replace(total_amount, '_', '') AS DECIMAL(38,18)) >= 0 "
-    f"AND lower(trim(customer_email)) IN (SELECT DISTINCT email FROM ({_FILE_CUSTOMERS}) c "
-    "WHERE errors = '')".replace("{", "{{").replace("}", "}}")
+    "SELECT CAST(n AS STRING) AS order_index, n AS line, product_sku, quantity, unit_price "
+    "FROM (" + catalog.ORDER_FILE + ") f"
 )
 
+
+def _row(table: str, *columns: str) -> str:
+    values = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)
+    return f"SELECT '{table}' AS table_name, concat_ws('|', {values}) AS row"
+
+
 EVENT_DOCUMENTS = r"""
 SELECT event_id, '}"],\{' || event_type || chr(10) || '[' || props AS note, value FROM events"""
 
@@ -443,22 +443,26 @@ WITH names AS (
   UNION
   SELECT {_title(_cleaned('category'))} FROM ({plain(inputs.RAW_PRODUCTS)}) r
   WHERE {_cleaned('category')} IS NOT NULL
-), buyers AS (SELECT DISTINCT email FROM ({_FILE_CUSTOMERS}) c WHERE errors = ''),
+), buyers AS ({_first(_FILE_CUSTOMERS, "email")}),
 bought AS (
-  SELECT o.total_amount FROM ({_FILE_ORDERS}) o
-  JOIN buyers b ON b.email = o.customer_email WHERE o.errors = ''
-), sold AS (
-  SELECT i.quantity * i.unit_price AS amount FROM ({_FILE_ITEMS}) i
-  JOIN ({FIRST_PRODUCTS}) p ON p.sku = i.product_sku WHERE i.errors = ''
+  SELECT o.pos, o.customer_email AS email, o.status, o.total_amount, o.ordered_at
+  FROM ({_FILE_ORDERS}) o JOIN buyers b ON b.email = o.customer_email WHERE o.errors = ''
+), feed AS ({FIRST_PRODUCTS}), sold AS (
+  SELECT o.email, o.total_amount, o.ordered_at, p.sku, i.quantity, i.unit_price
+  FROM ({_FILE_ITEMS}) i JOIN bought o ON o.pos = i.line
+  JOIN feed p ON p.sku = i.product_sku WHERE i.errors = ''
 )
-SELECT 'categories' AS table_name, count(*) AS rows,
-  CAST(coalesce(sum(length(name)), 0) AS DECIMAL(38,2)) AS total FROM names
+{_row("categories", "name")} FROM names
+UNION ALL
+{_row("products", "p.sku", "p.name", "k.name", "p.price")}
+FROM feed p LEFT JOIN names k ON k.name = p.category
 UNION ALL
-SELECT 'customers', count(*), CAST(coalesce(sum(length(email)), 0) AS DECIMAL(38,2)) FROM buyers
+{_row("customers", "email", "name", "phone")} FROM buyers
 UNION ALL
-SELECT 'orders', count(*), CAST(coalesce(sum(total_amount), 0) AS DECIMAL(38,2)) FROM bought
+{_row("orders", "email", "status", "total_amount", "ordered_at")} FROM bought
 UNION ALL
-SELECT 'order_items', count(*), CAST(coalesce(sum(amount), 0) AS DECIMAL(38,2)) FROM sold""",
+{_row("order_items", "email", "total_amount", "ordered_at", "sku", "quantity", "unit_price")}
+FROM sold""",
     "profile_customer": _profile(
         "customers", plain(inputs.CUSTOMERS), ["name", "email", "phone"], 0
     ),
