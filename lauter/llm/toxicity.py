@@ -36,6 +36,7 @@ PREFIXES = range(3, 7)
 NEIGHBOURS = 15
 PRIOR_WEIGHT = 0.25
 BLOCK = 128
+WIDER = 4
 THRESHOLD = 0.5
 REMEMBERED = 500_000
 
@@ -93,43 +94,50 @@ class BlockMaxIndex:
         weights = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
         self.max = np.zeros((n_terms, self.n_blocks), np.float64)
         np.maximum.at(self.max, (terms, rows // block), weights)
-        order = np.lexsort((rows, terms, rows // block))
+        order = np.lexsort((rows, terms))
         self.rows, self.weights = rows[order], weights[order]
-        # postings of (block, term) are between two entries of ``first``
-        cell = (rows // block * n_terms + terms)[order]
-        self.cells, self.first = np.unique(cell, return_index=True)
-        self.first = np.append(self.first, len(cell))
-        self.n_terms = n_terms
+        # postings of (term, block) begin at ``first`` and end where the next ones begin
+        cells = (terms * self.n_blocks + rows // block)[order]
+        held = np.bincount(cells, minlength=n_terms * self.n_blocks)
+        self.first = np.append(0, np.cumsum(held)).astype(np.int32)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The k examples of largest cosine above 0, ties by number, largest first."""
+        """The k examples of largest cosine above 0, ties by number, largest first.
+
+        Blocks are visited in order of their bounds, ``WIDER`` times as many in each round;
+        none whose bound is below the k-th best of the rounds before.
+        """
         bounds = weights @ self.max[terms]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable"):
-            least = best[-1][0] if len(best) == k else 0.0
-            if bounds[b] <= 0 or bounds[b] < least - 1e-12:
+        order = np.argsort(-bounds, kind="stable")
+        bounds = bounds[order]
+        scores, found = np.zeros(0), np.zeros(0, np.int64)
+        at, many = 0, 1
+        while at < len(order):
+            least = scores[-1] if len(scores) == k else 0.0
+            # bounds fall: those that can reach the k-th best are a prefix
+            reach = int(np.searchsorted(-bounds, -max(least - 1e-12, 0.0), "right" if least > 1e-12 else "left"))
+            blocks = order[at : min(at + many, reach)]
+            if not len(blocks):
                 break
-            scores = self._block_scores(b, terms, weights)
+            cosines = self._scores(blocks, terms, weights)
             # a little below the k-th best, so that ties are told apart by number
-            some = np.flatnonzero((scores > 0) & (scores >= least - 1e-11))
-            if len(some):
-                best += [(float(scores[r]), int(r + b * self.block)) for r in some]
-                best = sorted(best, key=lambda x: (-round(x[0], 12), x[1]))[:k]
-        return best
-
-    def _block_scores(self, b: int, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """The cosines with the examples of one block, from the postings of all terms at once."""
-        cells = b * self.n_terms + terms
-        at = np.minimum(np.searchsorted(self.cells, cells), len(self.cells) - 1)
-        found = self.cells[at] == cells
-        at, weights = at[found], weights[found]
-        starts = self.first[at]
-        lengths = self.first[at + 1] - starts
+            some = np.flatnonzero((cosines > 0) & (cosines >= least - 1e-11))
+            scores, found = np.append(scores, cosines[some]), np.append(found, some)
+            best = np.lexsort((found, -np.round(scores, 12)))[:k]
+            scores, found = scores[best], found[best]
+            at, many = at + many, many * WIDER
+        return list(zip(scores.tolist(), found.tolist(), strict=True))
+
+    def _scores(self, blocks: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The cosines with the examples of some blocks, 0 for all others, from their postings."""
+        cells = (terms[:, None] * self.n_blocks + blocks).ravel()
+        starts = self.first[cells].astype(np.int64)
+        lengths = self.first[cells + 1] - starts
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         postings = np.arange(total) + np.repeat(starts - ends + lengths, lengths)
-        products = np.repeat(weights, lengths) * self.weights[postings]
-        return np.bincount(self.rows[postings] - b * self.block, products, self.block)
+        products = np.repeat(np.repeat(weights, len(blocks)), lengths) * self.weights[postings]
+        return np.bincount(self.rows[postings], products, self.size)
 
 
 @dataclass
@@ -251,7 +259,8 @@ def fit(
         "vectors",
     )
     total = vectors.count()
-    holding = vectors.select(F.explode("counts.term").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    held_terms = vectors.select("counts.term").mapInArrow(_term_counts, "term int, df long")
+    holding = held_terms.groupBy("term").agg(F.sum("df").alias("df"))
     df = np.zeros(len(terms))
     for r in holding.collect():  # one row per term of the vocabulary
         df[r["term"]] = r["df"]
@@ -267,6 +276,17 @@ def _vectors(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Itera
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, kind)], names=["i", "counts"])
 
 
+def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many documents of a task hold each term; a document has a term once."""
+    held = np.zeros(0, np.int64)
+    for batch in batches:
+        found = np.bincount(batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.int64), minlength=len(held))
+        found[: len(held)] += held
+        held = found
+    terms = np.flatnonzero(held)
+    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), pa.array(held[terms], pa.int64())], names=["term", "df"])
+
+
 def _model(examples: DataFrame, terms, idf, numbers, held, neighbours) -> Model:
     # at most TOXIC + CLEAN examples, and only those with terms
     sent = examples.sparkSession.sparkContext.broadcast(terms)
