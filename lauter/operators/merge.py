@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 PARTITION_SHIFT = 33
 ROW_NUMBER = "_mid"
 LOADED, NEW_KEY = "_loaded", "_new_key"
+# some 32 MB broadcast
+MOST_OFFSETS = 1 << 20
 
 
 def number_rows(staged: DataFrame, base: int, out: str = "id") -> DataFrame:
@@ -18,8 +20,8 @@ def number_rows(staged: DataFrame, base: int, out: str = "id") -> DataFrame:
 
     ``_mid`` holds (task, row in task). The rows of each task get consecutive
     ids after those of the tasks before it. The offsets have two numbers per task of
-    the job that wrote ``staged``; they are added up on the driver, so that their size is
-    known to the planner, which broadcasts them or not.
+    the job that wrote ``staged``; they are added up on the driver, so that their number is
+    known: up to ``MOST_OFFSETS`` they are broadcast, more are joined by a shuffle.
     """
     task = F.shiftrightunsigned(F.col(ROW_NUMBER), PARTITION_SHIFT)
     index = F.col(ROW_NUMBER).bitwiseAND((1 << PARTITION_SHIFT) - 1)
@@ -31,6 +33,8 @@ def number_rows(staged: DataFrame, base: int, out: str = "id") -> DataFrame:
     if len(offsets) <= 1:
         return staged.withColumn(out, F.lit(base) + index + 1).drop(ROW_NUMBER)
     before = staged.sparkSession.createDataFrame(offsets, "_task bigint, _before bigint")
+    if len(offsets) <= MOST_OFFSETS:
+        before = F.broadcast(before)
     numbered = staged.withColumn("_task", task).join(before, "_task")
     return numbered.withColumn(out, F.col("_before") + index + 1).drop("_task", "_before", ROW_NUMBER)
 
