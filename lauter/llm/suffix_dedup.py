@@ -4,9 +4,11 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts at anothe
 the corpus.
 
 1. Texts that are equal as a whole are one; a text that occurs twice is all repeated.
-2. Every window of ``LENGTH`` bytes has an anchor, the leftmost of its 32-byte grams with
-   the smallest hash. It depends on the window's bytes only, so equal windows have equal
+2. Every window of ``LENGTH`` bytes has an anchor, the leftmost of its grams with the
+   smallest hash. It depends on the window's bytes only, so equal windows have equal
    anchors at the same offset. Anchors whose hash occurs once have no repeated window.
+   A gram is a third of a window: phrases of everyday language are shorter and do not
+   repeat as anchors, and there is still only one anchor in some 130 bytes.
 3. The windows of one anchor span a context, some hundred bytes around it. Contexts of one
    anchor hash meet; equal ones are one, with a count, combined before the shuffle.
 4. What is left of an anchor and what is right of it are put in suffix order, each by the
@@ -37,7 +39,7 @@ from lauter.llm.common import written
 from lauter.llm.near_dedup import mixed
 
 LENGTH = 400
-GRAM = 32
+GRAM = 1 / 3
 BLOCK = 64
 HOT = 4_000
 PIECES = (64, 1)
@@ -189,8 +191,8 @@ def repeated(groups: list[int], contexts: list[bytes], anchor: list[int], times:
 class Anchors:
     """Anchors of a text's windows."""
 
-    def __init__(self, length: int = LENGTH, gram: int = GRAM):
-        self.length, self.gram = length, gram
+    def __init__(self, length: int = LENGTH, gram: float = GRAM):
+        self.length, self.gram = length, max(1, int(length * gram))
         self.power = self.inverse = np.ones(1, np.uint64)
 
     def _powers(self, n: int) -> None:
