@@ -5,9 +5,10 @@ terms are words and beginnings of words; those that toxic examples hold signific
 often (G-squared) make the vocabulary. How many documents hold a term is counted over all
 documents.
 
-The index holds the examples in blocks of 128, with each term's largest weight per block.
+The index holds the examples in blocks of 64, with each term's largest weight per block.
 A document's nearest examples are found by visiting blocks in order of their bound, the
-sum of the document's weights times those maxima, until no block can reach the k-th best:
+sum of the document's weights times those maxima, until no block can reach the k-th best;
+documents are looked up many at a time, and those that visit the same block share the work:
 the same neighbours as comparing with every example. Neighbours vote with their cosine,
 each class weighted back to its share among the labelled, against a prior, which is the
 share of toxic examples without any term.
@@ -35,8 +36,10 @@ MOST_TERMS = 8_192
 PREFIXES = range(3, 7)
 NEIGHBOURS = 15
 PRIOR_WEIGHT = 0.25
-BLOCK = 128
+BLOCK = 64
+ROUNDS = 4
 WIDER = 4
+TOGETHER = 256
 THRESHOLD = 0.5
 REMEMBERED = 500_000
 
@@ -76,68 +79,164 @@ class Vocabulary:
         return found
 
 
-def weighted(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms in order and their weights, of length 1 together."""
-    terms = np.array(sorted(counts), np.int64)
-    weights = (1 + np.log([counts[t] for t in terms])) * idf[terms] if len(terms) else np.zeros(0)
-    return terms, weights / max(np.linalg.norm(weights), 1e-12)
+@dataclass
+class Counts:
+    """Term counts of texts: those of text ``i`` lie from ``first[i]`` to ``first[i + 1]``, by term."""
+
+    first: np.ndarray
+    terms: np.ndarray
+    n: np.ndarray
+
+    @classmethod
+    def of(cls, found: list[dict[int, int]]) -> Counts:
+        rows = [sorted(f.items()) for f in found]
+        flat = np.array([pair for row in rows for pair in row], np.int64).reshape(-1, 2)
+        return cls(np.append(0, np.cumsum([len(r) for r in rows])).astype(np.int64), flat[:, 0], flat[:, 1])
+
+    @classmethod
+    def read(cls, column: pa.Array) -> Counts:
+        """From a column ``array<struct<term, n>>`` without nulls."""
+        values = column.flatten()
+        lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+        terms, n = (values.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
+        return cls(np.append(0, np.cumsum(lengths)).astype(np.int64), terms, n)
+
+    def __len__(self) -> int:
+        return len(self.first) - 1
+
+    def take(self, rows: np.ndarray) -> Counts:
+        lengths = np.diff(self.first)[rows]
+        first = np.append(0, np.cumsum(lengths)).astype(np.int64)
+        at = np.arange(first[-1]) + np.repeat(self.first[:-1][rows] - first[:-1], lengths)
+        return Counts(first, self.terms[at], self.n[at])
+
+    def key(self, row: int) -> bytes:
+        part = slice(self.first[row], self.first[row + 1])
+        return self.terms[part].tobytes() + self.n[part].tobytes()
+
+    def rows(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self)), np.diff(self.first))
+
+    def weights(self, idf: np.ndarray) -> np.ndarray:
+        """TF-IDF of every count, of length 1 together in each text."""
+        found = (1 + np.log(self.n)) * idf[self.terms]
+        length = np.sqrt(np.bincount(self.rows(), found * found, len(self)))
+        return found / np.maximum(length, 1e-12)[self.rows()]
+
+
+def _ranks(groups: np.ndarray) -> np.ndarray:
+    """The place of each within its group, for groups in order."""
+    return np.arange(len(groups)) - np.searchsorted(groups, groups)
 
 
 class BlockMaxIndex:
-    """Postings of examples in blocks, with the largest weight of each term in each block."""
+    """Examples in blocks, with the largest weight of each term in each block.
+
+    Queries come many at a time. Each visits blocks in order of its own bounds; queries
+    that visit the same block in a round do so together, in one matrix product over the
+    terms that the block holds.
+    """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK):
-        self.size, self.block = len(vectors), block
+        self.size, self.block, self.n_terms = len(vectors), block, n_terms
         self.n_blocks = -(-self.size // block)
-        rows = np.repeat(np.arange(self.size), [len(t) for t, _ in vectors])
-        terms = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)])
-        weights = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
-        self.max = np.zeros((n_terms, self.n_blocks), np.float64)
-        np.maximum.at(self.max, (terms, rows // block), weights)
-        order = np.lexsort((rows, terms))
-        self.rows, self.weights = rows[order], weights[order]
-        # postings of (term, block) begin at ``first`` and end where the next ones begin
-        cells = (terms * self.n_blocks + rows // block)[order]
-        held = np.bincount(cells, minlength=n_terms * self.n_blocks)
-        self.first = np.append(0, np.cumsum(held)).astype(np.int32)
+        self.first = np.append(0, np.cumsum([len(t) for t, _ in vectors])).astype(np.int64)
+        self.rows = np.repeat(np.arange(self.size), np.diff(self.first))
+        self.terms = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)])
+        self.weights = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
+        self.max = np.zeros((self.n_terms, self.n_blocks))
+        np.maximum.at(self.max, (self.terms, self.rows // block), self.weights)
+        self.blocks: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"blocks": {}}  # tasks lay them out again, so that less is sent
+
+    def _block(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """The terms of a block and its examples' weights for them, one row per example."""
+        if number not in self.blocks:
+            part = slice(*self.first[[number * self.block, min((number + 1) * self.block, self.size)]])
+            terms, place = np.unique(self.terms[part], return_inverse=True)
+            laid = np.zeros((min(self.block, self.size - number * self.block), len(terms)), np.float32)
+            laid[self.rows[part] - number * self.block, place] = self.weights[part]
+            self.blocks[number] = terms, laid
+        return self.blocks[number]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The k examples of largest cosine above 0, ties by number, largest first.
+        """The k examples of largest cosine above 0, ties by number, largest first."""
+        return self.nearest_of_each(1, np.zeros(len(terms), np.int64), terms, weights, k)[0]
 
-        Blocks are visited in order of their bounds, ``WIDER`` times as many in each round;
-        none whose bound is below the k-th best of the rounds before.
+    def nearest_of_each(
+        self, many: int, rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int
+    ) -> list[list[tuple[float, int]]]:
+        """The k nearest examples of each of ``many`` queries, whose numbers are ``rows``.
+
+        A round visits ``WIDER`` times as many blocks as the one before, the last all that
+        are left; none whose bound is below the k-th best of the rounds before.
         """
-        bounds = weights @ self.max[terms]
-        order = np.argsort(-bounds, kind="stable")
-        bounds = bounds[order]
-        scores, found = np.zeros(0), np.zeros(0, np.int64)
-        at, many = 0, 1
-        while at < len(order):
-            least = scores[-1] if len(scores) == k else 0.0
-            # bounds fall: those that can reach the k-th best are a prefix
-            reach = int(np.searchsorted(-bounds, -max(least - 1e-12, 0.0), "right" if least > 1e-12 else "left"))
-            blocks = order[at : min(at + many, reach)]
-            if not len(blocks):
-                break
-            cosines = self._scores(blocks, terms, weights)
+        held = np.zeros((self.n_terms, many))
+        held[terms, rows] = weights
+        bounds = held.T @ self.max
+        short = held.astype(np.float32)
+        order = np.argsort(-bounds, axis=1, kind="stable")
+        place = np.empty_like(order)
+        np.put_along_axis(place, order, np.arange(self.n_blocks)[None, :], axis=1)
+        least = np.zeros(many)
+        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]  # query, example, cosine
+        start, stop = 0, 1
+        for last in (False,) * ROUNDS + (True,):
+            stop = self.n_blocks if last else stop
             # a little below the k-th best, so that ties are told apart by number
-            some = np.flatnonzero((cosines > 0) & (cosines >= least - 1e-11))
-            scores, found = np.append(scores, cosines[some]), np.append(found, some)
-            best = np.lexsort((found, -np.round(scores, 12)))[:k]
-            scores, found = scores[best], found[best]
-            at, many = at + many, many * WIDER
-        return list(zip(scores.tolist(), found.tolist(), strict=True))
-
-    def _scores(self, blocks: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """The cosines with the examples of some blocks, 0 for all others, from their postings."""
-        cells = (terms[:, None] * self.n_blocks + blocks).ravel()
-        starts = self.first[cells].astype(np.int64)
-        lengths = self.first[cells + 1] - starts
+            wanted = (place >= start) & (place < stop) & (bounds > 0) & (bounds >= (least - 1e-11)[:, None])
+            q, e = self._scores(np.flatnonzero(wanted.any(axis=0)), wanted, short, least, k)
+            cosines = self._exact(q, e, held)
+            found = [np.append(a, b) for a, b in zip(found, (q, e, cosines), strict=True)]
+            best = np.lexsort((found[1], -found[2], found[0]))
+            best = best[found[2][best] > 0]
+            rank = _ranks(found[0][best])
+            best, rank = best[rank < k], rank[rank < k]
+            found = [column[best] for column in found]
+            least[found[0][rank == k - 1]] = found[2][rank == k - 1]
+            start, stop = stop, stop * WIDER
+        ends = np.searchsorted(found[0], np.arange(many + 1))
+        pairs = list(zip(found[2].tolist(), found[1].tolist(), strict=True))
+        return [pairs[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _scores(
+        self, blocks: np.ndarray, wanted: np.ndarray, short: np.ndarray, least: np.ndarray, k: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Queries and examples of the blocks they want that can be among their k nearest.
+
+        Products of single precision choose them. Vectors have length 1, so such a sum of n
+        terms is off by less than n + 2 rounding errors, and what is below the k-th best by
+        twice as much is not among the best.
+        """
+        off = (min(self.n_terms, int(np.diff(self.first).max(initial=0)) * self.block) + 2) * np.finfo(np.float32).eps
+        floor = (least - off).astype(np.float32)
+        queries, examples, nears = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
+        for number in blocks.tolist():
+            some = np.flatnonzero(wanted[:, number])
+            terms, laid = self._block(number)
+            near = (laid @ short[terms][:, some]).T
+            q, e = np.nonzero((near > 0) & (near >= floor[some][:, None]))
+            queries.append(some[q])
+            examples.append(number * self.block + e)
+            nears.append(near[q, e])
+        q, e, near = (np.concatenate(c) for c in (queries, examples, nears))
+        best = np.lexsort((-near, q))
+        rank = _ranks(q[best])
+        edge = np.zeros(len(least), np.float32)
+        at_edge = best[rank == k - 1]
+        edge[q[at_edge]] = near[at_edge] - np.float32(2 * off)
+        some = np.flatnonzero(near >= edge[q])
+        return q[some], e[some]
+
+    def _exact(self, queries: np.ndarray, examples: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """Cosines of pairs, to 12 places, from the examples' postings."""
+        lengths = np.diff(self.first)[examples]
         ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        postings = np.arange(total) + np.repeat(starts - ends + lengths, lengths)
-        products = np.repeat(np.repeat(weights, len(blocks)), lengths) * self.weights[postings]
-        return np.bincount(self.rows[postings], products, self.size)
+        at = np.arange(lengths.sum()) + np.repeat(self.first[:-1][examples] - ends + lengths, lengths)
+        pair = np.repeat(np.arange(len(queries)), lengths)
+        return np.round(np.bincount(pair, self.weights[at] * held[self.terms[at], queries[pair]], len(queries)), 12)
 
 
 @dataclass
@@ -151,15 +250,28 @@ class Model:
     prior: float
     neighbours: int
 
-    def score(self, counts: dict[int, int]) -> tuple[float, list[int]]:
-        """The score and the ids of the nearest examples."""
-        if not counts or not self.index.size:
+    def scores(self, texts: Counts, memory: dict) -> tuple[list[float], list[list[int]]]:
+        """Scores and the ids of the nearest examples; equal counts are looked up once."""
+        keys = [texts.key(i) for i in range(len(texts))]
+        if len(memory) > REMEMBERED // 5:
+            memory.clear()
+        fresh = {k: i for i, k in enumerate(keys) if k not in memory}
+        rows = np.fromiter(fresh.values(), np.int64, len(fresh))
+        for start in range(0, len(rows), TOGETHER):
+            some = rows[start : start + TOGETHER]
+            part = texts.take(some)
+            near = self.index.nearest_of_each(len(part), part.rows(), part.terms, part.weights(self.idf), self.neighbours)
+            memory.update((keys[i], self._vote(n)) for i, n in zip(some, near, strict=True))
+        found = [memory[k] for k in keys]
+        return [s for s, _ in found], [e for _, e in found]
+
+    def _vote(self, near: list[tuple[float, int]]) -> tuple[float, list[int]]:
+        if not near:
             return self.prior, []
-        near = self.index.nearest(*weighted(counts, self.idf), self.neighbours)
         at = [i for _, i in near]
         votes = np.array([s for s, _ in near]) * self.weight[at]
-        total = float(votes.sum()) + PRIOR_WEIGHT * float(self.weight.min())
-        score = (float(votes @ self.toxic[at]) + PRIOR_WEIGHT * float(self.weight.min()) * self.prior) / total
+        least = PRIOR_WEIGHT * float(self.weight.min())
+        score = (float(votes @ self.toxic[at]) + least * self.prior) / (float(votes.sum()) + least)
         return min(max(score, 0.0), 1.0), [int(i) for i in self.ids[at]]
 
 
@@ -269,11 +381,11 @@ def fit(
 
 
 def _vectors(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("term", pa.int32()), ("n", pa.int32())]))
     for batch in batches:
-        found = [vocabulary.counts(t.as_py()) for t in batch.column(1)]
-        counts = [[{"term": k, "n": min(n, 2**31 - 1)} for k, n in sorted(f.items())] for f in found]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, kind)], names=["i", "counts"])
+        found = Counts.of([vocabulary.counts(t.as_py()) for t in batch.column(1)])
+        columns = [pa.array(c.astype(np.int32)) for c in (found.terms, np.minimum(found.n, 2**31 - 1))]
+        counts = pa.ListArray.from_arrays(found.first.astype(np.int32), pa.StructArray.from_arrays(columns, ["term", "n"]))
+        yield pa.RecordBatch.from_arrays([batch.column(0), counts], names=["i", "counts"])
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,35 +411,28 @@ def _model(examples: DataFrame, terms, idf, numbers, held, neighbours) -> Model:
 
     kind = examples.schema["i"].dataType.simpleString()
     found = examples.mapInArrow(vectors, f"i {kind}, counts array<struct<term:int,n:int>>, y int")
-    rows = found.where(F.size("counts") > 0).collect()
-    with_terms = Counter(r["y"] for r in rows)
-    share = {y: numbers.get(y, 0) / max(held.get(y, 0), 1) for y in (0, 1)}
-    without = {y: (held.get(y, 0) - with_terms[y]) * share[y] for y in (0, 1)}
+    # columns, not rows: the driver holds a few numbers per term of an example
+    rows = found.where(F.size("counts") > 0).toArrow().combine_chunks()
+    y, ids = (rows.column(c).to_numpy() for c in ("y", "i"))
+    with_terms = {k: int((y == k).sum()) for k in (0, 1)}
+    share = {k: numbers.get(k, 0) / max(held.get(k, 0), 1) for k in (0, 1)}
+    without = {k: (held.get(k, 0) - with_terms[k]) * share[k] for k in (0, 1)}
     # rule of succession on the examples without a term
     prior = (without[1] + 0.5) / (without[0] + without[1] + 1) if held else 0.0
+    counts = rows.column("counts").combine_chunks()
+    counts = Counts.read(counts.chunk(0) if isinstance(counts, pa.ChunkedArray) else counts)
     # similar examples side by side, so that the bounds of blocks are tight
-    rows.sort(key=lambda r: ([c["term"] for c in r["counts"]], r["y"], r["i"]))
-    counts = [{c["term"]: c["n"] for c in r["counts"]} for r in rows]
+    names = [counts.terms[a:b].astype(">i4").tobytes() for a, b in zip(counts.first, counts.first[1:])]
+    order = np.array(sorted(range(len(y)), key=lambda i: (names[i], y[i], ids[i])), np.int64)
+    counts = counts.take(order)
+    weights = counts.weights(idf)
+    vectors = [(counts.terms[a:b], weights[a:b]) for a, b in zip(counts.first, counts.first[1:])]
     return Model(
-        terms, idf, BlockMaxIndex([weighted(c, idf) for c in counts], len(terms)),
-        np.array([r["y"] for r in rows], float), np.array([share[r["y"]] for r in rows]),
-        np.array([r["i"] for r in rows]), float(prior), neighbours,
+        terms, idf, BlockMaxIndex(vectors, len(terms)), y[order].astype(float),
+        np.array([share[k] for k in y[order].tolist()]), ids[order], float(prior), neighbours,
     )
 
 
-def _scores(model: Model, found: list[dict[int, int]], memory: dict) -> tuple[list[float], list[list[int]]]:
-    """Scores and evidence; equal vectors are looked up once."""
-    out = []
-    for counts in found:
-        key = tuple(sorted(counts.items()))
-        if key not in memory:
-            if len(memory) > 100_000:
-                memory.clear()
-            memory[key] = model.score(counts)
-        out.append(memory[key])
-    return [s for s, _ in out], [e for _, e in out]
-
-
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``doc_id, score, predicted, evidence``, one row per row of ``docs``.
 
@@ -340,8 +445,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict = {}
         for batch in batches:
-            found = [{c["term"]: c["n"] for c in row.as_py()} for row in batch.column(1)]
-            scores, evidence = _scores(sent.value, found, memory)
+            scores, evidence = sent.value.scores(Counts.read(batch.column(1)), memory)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -366,8 +470,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         vocabulary = Vocabulary(sent.value.terms)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
-            found = [vocabulary.counts(t.as_py()) for t in texts]
-            scores, _ = _scores(sent.value, found, memory)
+            found = Counts.of([vocabulary.counts(t.as_py()) for t in texts])
+            scores, _ = sent.value.scores(found, memory)
             yield batch.filter(pa.array([s < THRESHOLD for s in scores], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
