@@ -2,7 +2,8 @@
 
 Documents are counted by their exact length, per source. A source's budget is met in
 three steps: whole copies of everything, the same share of every length (rounded down),
-and a bounded-knapsack dynamic programme over the lengths left for what remains. The
+and a bounded-knapsack dynamic programme over the lengths left for what remains. Where
+that misses the budget, a smaller share is fixed and the programme has more to fill. The
 result is a number of documents per length; which ones is decided by a seeded hash.
 
 One task sees one row per length of a source, never its documents. The documents of one
@@ -60,29 +61,42 @@ def targets_of(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most:
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: float, exact: int = EXACT) -> np.ndarray:
     """How many documents of each size to take for a sum near ``budget``.
 
-    The same share of all sizes first; then large to small while more than ``exact`` is
-    missing; then the bounded knapsack for the rest: the reachable sum nearest to it.
+    The same share of all sizes first, then the bounded knapsack for what remains. If the
+    budget is not met, the share leaves more to the knapsack, up to ``exact`` words: for
+    budgets up to that no sum is nearer.
     """
-    taken = np.zeros(len(sizes), dtype=np.int64)
+    best = np.zeros(len(sizes), dtype=np.int64)
     whole = int((sizes * counts).sum())
     budget = int(round(min(budget, whole)))
     if budget <= 0:
-        return taken
+        return best
     if budget == whole:
         return counts.astype(np.int64)
-    taken = np.minimum((counts * (budget / whole)).astype(np.int64), counts)
+    missed = budget
+    for band in (0, exact // 64, exact // 16, exact // 4, exact):
+        taken = _share(sizes, counts, max(budget - band, 0), whole, budget, exact)
+        taken = taken + knapsack(sizes, counts - taken, budget - int((taken * sizes).sum()))
+        off = abs(budget - int((taken * sizes).sum()))
+        if off < missed:
+            best, missed = taken, off
+        if not missed or band >= budget:
+            break
+    return best
+
+
+def _share(sizes: np.ndarray, counts: np.ndarray, part: int, whole: int, budget: int, exact: int) -> np.ndarray:
+    """The share ``part / whole`` of all sizes, and more, large to small, while above ``exact`` is missing."""
+    taken = np.minimum((counts * (part / whole)).astype(np.int64), counts)
     left = budget - int((taken * sizes).sum())
-    spare = counts - taken
     for i in np.argsort(-sizes, kind="stable"):
         if left <= exact:
             break
         if sizes[i]:
-            more = min(int(spare[i]), (left - exact // 2) // int(sizes[i]))
+            more = min(int(counts[i] - taken[i]), (left - exact // 2) // int(sizes[i]))
             if more > 0:
                 taken[i] += more
-                spare[i] -= more
                 left -= more * int(sizes[i])
-    return taken + knapsack(sizes, spare, left)
+    return taken
 
 
 def knapsack(sizes: np.ndarray, spare: np.ndarray, goal: int) -> np.ndarray:
@@ -94,8 +108,7 @@ def knapsack(sizes: np.ndarray, spare: np.ndarray, goal: int) -> np.ndarray:
     use = np.zeros(len(sizes), dtype=np.int64)
     if goal <= 0:
         return use
-    smallest = int(sizes[(spare > 0) & (sizes > 0)].min(initial=2 * goal))
-    limit = goal + min(smallest, goal)
+    limit = 2 * goal  # nothing above is nearer than taking none
     reach = np.zeros(limit + 1, dtype=bool)
     reach[0] = True
     by = np.full(limit + 1, -1, dtype=np.int64)
