@@ -313,9 +313,15 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, toxi
     given = labels.where("i IS NOT NULL AND y IS NOT NULL").groupBy("i").agg(F.max("y").alias("y"))
     given = docs.select(F.col(id_col).alias("i")).distinct().join(given, "i")
     numbers = {r["y"]: r["n"] for r in given.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    chance = Window.partitionBy("y").orderBy(F.xxhash64("i"), "i")
-    picked = given.withColumn("r", F.row_number().over(chance))
-    picked = picked.where(F.col("r") <= F.when(F.col("y") == 1, toxic).otherwise(clean)).select("i", "y")
+    most = F.when(F.col("y") == 1, toxic).otherwise(clean)
+    given = given.withColumn("bucket", F.shiftright(F.xxhash64("i"), 52))
+    # whole buckets of the hash are in or out by their counts; only those up to the bound are ranked
+    cells = given.groupBy("y", "bucket").agg(F.count("*").alias("held"))
+    upto = Window.partitionBy("y").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    cells = cells.withColumn("before", F.sum("held").over(upto) - F.col("held")).where(F.col("before") < most)
+    chance = Window.partitionBy("y", "bucket").orderBy(F.xxhash64("i"), "i")
+    picked = given.join(cells, ["y", "bucket"]).withColumn("r", F.col("before") + F.row_number().over(chance))
+    picked = picked.where(F.col("r") <= most).select("i", "y")
     plain = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t"))
     # at most toxic + clean rows of two numbers
     rows = written(plain.join(F.broadcast(picked), "i"), "examples")
