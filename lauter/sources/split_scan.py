@@ -13,6 +13,9 @@ only the bytes before it tell. So it takes two passes, neither of which moves a
    borders, at most a head and a tail, is joined with its neighbours' by a grouping of
    those rows alone.
 
+A task takes many small ranges, some ``TASK_BYTES`` of them, one after the other: how many
+tasks there are follows from the bytes and the cores, not from how finely files are cut.
+
 The records' texts are then parsed by Spark's own functions, one at a time, so a file may
 be of any size; only a single record must fit into a row. Compressed files are one range.
 """
@@ -36,6 +39,8 @@ from lauter.sources.json_records import VARIANT, parse_documents
 
 OUT, IN, BAD = 0, 1, 2
 _MASK = (1 << 64) - 1
+# what a task reads, of ranges that are smaller
+TASK_BYTES = 8 << 20
 
 
 # -- automata -----------------------------------------------------------------
@@ -112,14 +117,18 @@ _STRING_REST = re.compile(rb'[^"\\]*+(?:\\.[^"\\]*+)*+"', re.DOTALL)
 # -- ranges -------------------------------------------------------------------
 
 
-def _pieces(spark: SparkSession, path: str, separator: bytes) -> DataFrame:
-    """``value, file, start`` in file order within a task; ``file`` is a hash of the path."""
+def _pieces(spark: SparkSession, path: str, separator: bytes, tasks: int) -> DataFrame:
+    """``value, file, start`` in file order within a range; ``file`` is a hash of the path.
+
+    At most ``tasks`` tasks, each of whole ranges; a task's ranges may come in any order.
+    """
     text = spark.read.option("lineSep", separator.decode()).text(path)
-    return text.select(
+    pieces = text.select(
         F.col("value").cast("binary").alias("value"),
         F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
     )
+    return pieces.coalesce(tasks)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.Array]]:
@@ -177,6 +186,7 @@ class Ranges(NamedTuple):
 
     keys: np.ndarray
     values: np.ndarray  # file's place, state, depth, target depth, last range without separator
+    tasks: int  # that read all of them
 
 
 def _beginning(keys: np.ndarray, values: np.ndarray, file: int, start: int) -> tuple[int, ...]:
@@ -193,11 +203,13 @@ def _range_key(file: int, start: int) -> np.uint64:
 
 def _ranges(spark: SparkSession, path: str, automaton, sizes: bool, target) -> Ranges:
     """Pass 1. ``target`` gives the depth behind a record from the file's first bytes."""
-    pieces = _pieces(spark, path, automaton.separator)
-    rows = pieces.mapInArrow(_effects(automaton), _EFFECT).collect()  # one row per range
     about = [F.col(f"_metadata.file_{what}").alias(what) for what in ("path", "size")]
     listed = spark.read.format("binaryFile").load(path).select(*about).withColumn("file", F.xxhash64("path"))
     files = {r.file: (i, r.path, r.size) for i, r in enumerate(sorted(listed.collect()))}
+    size = sum(size for _, _, size in files.values())
+    tasks = max(4 * spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    pieces = _pieces(spark, path, automaton.separator, tasks)
+    rows = pieces.mapInArrow(_effects(automaton), _EFFECT).collect()  # one row per range
     keys, values = [], []
     by_file: dict[int, list] = {}
     for row in sorted(rows, key=lambda r: (r.file, r.start)):
@@ -221,7 +233,7 @@ def _ranges(spark: SparkSession, path: str, automaton, sizes: bool, target) -> R
     order = np.argsort(keys)
     if len(keys) and (np.diff(keys[order]) == 0).any():
         raise RuntimeError("two ranges have one key")
-    return Ranges(keys[order], np.array(values, np.int64).reshape(-1, 5)[order])
+    return Ranges(keys[order], np.array(values, np.int64).reshape(-1, 5)[order], tasks)
 
 
 # -- records ------------------------------------------------------------------
@@ -317,8 +329,8 @@ def _records(spark: SparkSession, path: str, automaton, ranges: Ranges) -> DataF
     separator of a file. The two kinds are two scans: the rare one is not worth writing the
     other down for.
     """
-    sent = spark.sparkContext.broadcast(tuple(ranges))
-    pieces = _pieces(spark, path, automaton.separator)
+    sent = spark.sparkContext.broadcast((ranges.keys, ranges.values))
+    pieces = _pieces(spark, path, automaton.separator, ranges.tasks)
     whole = pieces.mapInArrow(_cuts(automaton, sent, True), _CUT).withColumn("whole", F.lit(True))
     # at most two rows a range: a tail and the heads after it are one record
     parts = pieces.mapInArrow(_cuts(automaton, sent, False), _CUT)

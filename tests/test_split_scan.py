@@ -76,6 +76,20 @@ def test_csv_is_read_by_many_tasks(spark, tmp_path, ranges):
     assert rows(found) == rows(read_csv(spark, str(path)))
 
 
+def test_a_task_takes_many_small_ranges(spark, tmp_path, ranges):
+    path, document = tmp_path / "t.csv", tmp_path / "t.json"
+    path.write_text(table(1, 4000, "\n"), newline="")
+    document.write_text(json.dumps([{"n": n, "s": '}"'} for n in range(4000)]))
+    expected = rows(read_csv(spark, str(path)))
+    ranges(256)
+    # as many tasks as the cores call for, and those of the shuffle
+    most = 4 * spark.sparkContext.defaultParallelism + int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for found in (read_csv_split(spark, str(path)), read_json_split(spark, str(document))):
+        assert found.select(F.spark_partition_id().alias("t")).distinct().count() <= most
+        assert found.count() == 4000
+    assert rows(read_csv_split(spark, str(path))) == expected
+
+
 def test_csv_quoted_field_over_many_ranges(spark, tmp_path, ranges):
     path = tmp_path / "t.csv"
     long = "line, one\nline \"\"two\"\"\n" * 200
