@@ -10,6 +10,7 @@ from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from lauter.plans import catalog
 from lauter.plans.load import run_entity
 from lauter.sources import read_csv, read_csv_split, read_json, read_json_split
 from lauter.sources.split_scan import BAD, IN, OUT, CsvLines, JsonBraces
@@ -244,3 +245,11 @@ def test_loads_from_ranges(spark, warehouse, tmp_path, ranges):
     assert (second.rows_ingested, second.rows_failed) == (1, 1)
     names = {r.email: r.name for r in warehouse.table("customers").collect()}
     assert names["b@b.co"] == "Ben" and names["c@b.co"] == "Cleo" and names["a@b.co"].startswith("Ada")
+
+
+def test_events_make_more_documents_not_larger_ones(spark, monkeypatch):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    monkeypatch.setattr(catalog, "DOCUMENT_EVENTS", events // 5 + 1)
+    path = catalog._documents_of(spark, "/root/testdata/sf0.001", 2)
+    assert len(spark.read.text(path).inputFiles()) == 5
+    assert read_json_split(spark, path).count() == events
