@@ -186,3 +186,19 @@ def test_steps_of_a_load(spark, warehouse, tmp_path):
     assert {(r.entity, r.status): r.runs for r in bars if r.le == "+Inf"} == {
         ("customers", "success"): 1, ("categories", "failed"): 1,
     }
+
+
+def test_one_file_of_a_batch_is_judged_by_many_tasks(spark, warehouse, tmp_path):
+    rows = spark.range(20_000).selectExpr("concat('N', id) AS name", "concat('u', id, '@b.co') AS email")
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = stream_parquet(spark, str(tmp_path / "in"), rows.schema)
+    least = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(least)
+    spark.conf.set(least, "1k")
+    try:
+        query = stream_entity(warehouse, stream, "customers", run_id="one", checkpoint=str(tmp_path / "c"), schema=rows.schema)
+        query.awaitTermination()
+    finally:
+        spark.conf.set(least, before)
+    assert warehouse.steps().first().chunks > 4
+    assert warehouse.table("customers").count() == 20_000
