@@ -1,6 +1,7 @@
 import unicodedata
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -88,3 +89,12 @@ def test_clean_keeps_rows_and_other_types(spark, rows):
     cleaned = clean(frame).collect()
     assert sorted((r.n, r.b) for r in cleaned) == sorted((n, n > 4) for _, n in rows)
     assert all(r.name is None or 0 < len(r.name) <= 256 for r in cleaned)
+
+
+def test_long_texts_reach_python_few_at_a_time(spark):
+    @F.pandas_udf("int")
+    def together(values):
+        return values.map(lambda _: len(values))
+
+    texts = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("t"))
+    assert texts.select(F.max(together("t"))).first()[0] < 60
