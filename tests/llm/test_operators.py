@@ -9,12 +9,13 @@ from collections import Counter, defaultdict
 import pytest
 
 import __spark_entry__ as entry
+from lauter.llm import near_dedup
 from lauter.llm.decontaminate import contamination, drop_contaminated
 from lauter.llm.exact_dedup import exact_dedup, keep_first_copies
 from lauter.llm.html_text import extract, read_page
 from lauter.llm.language import label_languages, learnable
 from lauter.llm.mixing import mix, take_mix
-from lauter.llm.near_dedup import edits_within, keep_one_of_each, near_duplicates, similar
+from lauter.llm.near_dedup import _merged, components, edits_within, keep_one_of_each, near_duplicates, similar
 from lauter.llm.suffix_dedup import remove_repeats, suffix_array
 from lauter.llm.tokens import token_counts
 from lauter.llm.toxicity import drop_toxic, toxicity
@@ -242,6 +243,51 @@ def test_near_duplicates_of_large_buckets_are_those_of_all_pairs(spark):
     assert rows == {i: top(i) for i in range(len(texts))} and len(set(rows.values())) == 100
 
 
+def test_later_links_join_classes_without_going_over_all_links_again(spark, monkeypatch):
+    rng, template, texts = random.Random(12), words(400, 200), []
+    for i in range(20):
+        at = rng.sample(range(5, 195, 6), 6)
+        for own in (at[2:4], at[4:]):
+            text = template[:]
+            for place in at[:2] + own:
+                text[place] = f"one{i}" if place in at[:2] else f"own{len(texts)}"
+            texts.append(" ".join(text))
+    family = words(300, 200)
+    texts += [" ".join([*family, f"copy{i}"]) for i in range(60)]
+    sizes = []
+
+    def seen(*args):
+        sizes.append(args[-1].count())
+        return components(*args)
+
+    monkeypatch.setattr(near_dedup, "components", seen)
+    rows = {r.doc_id: r.class_id for r in near_duplicates(documents(spark, texts), small=2).collect()}
+    assert rows == {i: i - i % 2 if i < 40 else 40 for i in range(len(texts))}
+    assert len(sizes) > 1 and max(sizes[1:]) < sizes[0], sizes
+
+
+def test_components_of_links_between_classes(spark):
+    rng = random.Random(3)
+    links = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(i, i + 1) for i in range(100, 140)]
+    up = {i: i for pair in links for i in pair}
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in links:
+        low, high = sorted((top(a), top(b)))
+        up[high] = low
+    frame = spark.createDataFrame(links, "left int, right int")
+    assert {r.key: r.component for r in components(frame).collect()} == {i: top(i) for i in up}
+    assert components(frame.where("false")).count() == 0
+    # classes keep their smallest key when a link joins them
+    state = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 3), (5, 5)], "key int, component int")
+    joined = _merged(state, spark.createDataFrame([(3, 1)], "left int, right int"))
+    assert {r.key: r.component for r in joined.collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5}
+
+
 def test_edits_within():
     def edits(x, y):
         row = list(range(len(y) + 1))
