@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lauter.operators import dedup, lookup, profile, report
-from lauter.operators.rules import classify, rejected
+from lauter.operators.rules import classify, is_accepted, rejected
 from lauter.plans import analytics
 
 
@@ -124,3 +124,25 @@ def test_profile_counts_values_before_the_shuffle(spark):
     text = plan(profile.column_counts(frame, ["a", "b"]))
     assert text.count("Expand") == 1
     assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_staged_orders_stay_below_the_compilers_limit(spark, tmp_path):
+    """Orders with their items, looked up and flagged, run as one compiled stage."""
+    names = ("customer_email", "status", "total_amount", "ordered_at", "product_sku", "quantity", "unit_price")
+    spark.range(1).select(*[F.lit("x").alias(n) for n in names], F.struct("id").alias("_pos")).write.parquet(
+        f"{tmp_path}/raw"
+    )
+    spark.range(1).select("id", F.lit("x").alias("email")).write.parquet(f"{tmp_path}/customers")
+    raw, customers = spark.read.parquet(f"{tmp_path}/raw"), spark.read.parquet(f"{tmp_path}/customers")
+    staged = lookup.resolve_customer(classify(raw, "orders", keep=names[4:]), customers).withColumns(
+        {"_ok": is_accepted(), "_mid": F.monotonically_increasing_id()}
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        physical = staged._jdf.queryExecution().executedPlan()
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        stages = debug.codegenStringSeq(physical)
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert 0 < max(sizes) < int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))

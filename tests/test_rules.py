@@ -211,3 +211,10 @@ def test_first_valid_wins(spark):
     ).repartition(8)
     kept = first_valid(classify(frame, "customers", order_by=["i"]), "customers")
     assert sorted((r.email, r.name) for r in kept.collect()) == [("a@b.co", "First"), ("c@d.de", "Other")]
+
+
+def test_characters_of_an_atom(spark):
+    allowed = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789!#$%&'*+/=?^_`{|}~-.")
+    chars = [chr(c) for c in range(33, 127)] + ["ä", "İ"]
+    found = errors(spark, "customers", "email", [f"a{c}b@example.com" for c in chars], CUSTOMER)
+    assert [not e for e in found] == [c in allowed for c in chars]
