@@ -7,7 +7,8 @@ The model is one number per trigram and language.
 Labelling: a word's script narrows the languages to those learned in that script; each
 word scores the sum of its trigrams' log probabilities; a Viterbi pass with a penalty for
 each switch labels every word, and the language of most letters is the document's. The
-pass runs over all documents of a batch at once, one step per word position.
+pass runs over all documents of a batch at once, one step per word position. Documents in
+which no run of words can win back the penalty need no pass: one language has all words.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ MOST_GRAMS = 200_000  # of one language
 TOGETHER = 1 << 18  # code points
 SWITCH = 12.0
 STRANGE = 40.0
+CLOSE = 0.5  # what sums of scores may be apart and count as undecided, far above rounding
 UNKNOWN = "und"
 
 # First code points of Unicode script ranges; a range ends at the next one
@@ -164,6 +166,51 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
     return labels
 
 
+def whole_language(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarray:
+    """Per text the label that :func:`viterbi` gives to all of its words, -1 if not known.
+
+    Beside the label that is best for the whole text, a run of words in other labels gains at
+    most the sum of what each word's best other label has over it, and costs a switch. If no
+    run of the text gains that much, nothing but that label is best.
+    """
+    label = np.full(len(lengths), -1, np.int32)
+    full = np.flatnonzero(lengths)
+    if not len(full) or scores.shape[1] == 1:
+        return np.zeros_like(label)
+    n = lengths[full]
+    first = np.cumsum(n) - n
+    text = np.repeat(np.arange(len(full)), n)
+    total = np.add.reduceat(scores, first, axis=0)
+    best = total.argmax(1)
+    ahead = total.max(1)
+    total[np.arange(len(full)), best] = -np.inf
+    ahead = ahead - total.max(1)
+    place = (np.arange(len(scores)), best[text])
+    others = scores.copy()
+    others[place] = -np.inf
+    gain = others.max(1) - scores[place]
+    # sums from each text's begin; a text lies so far below the one before it that the lowest
+    # sum so far is always its own
+    sums = np.cumsum(gain)
+    sums -= (sums[first] - gain[first])[text]
+    below = (max(sums.max(), 0) - min(sums.min(), 0) + 1) * text
+    sums -= below
+    rise = sums - np.minimum(np.minimum.accumulate(sums), -below)
+    sure = (np.maximum.reduceat(rise, first) < switch - CLOSE) & (ahead > CLOSE)
+    label[full] = np.where(sure, best, -1)
+    return label
+
+
+def word_labels(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarray:
+    """What :func:`viterbi` gives, which only sees the texts that need it."""
+    whole = whole_language(scores, lengths, switch)
+    labels = np.repeat(whole, lengths)
+    open_ = labels < 0
+    if open_.any():
+        labels[open_] = viterbi(scores[open_], lengths[whole < 0], switch)
+    return labels
+
+
 def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> Model | None:
     """The model of the labelled ``docs``; None if there are none."""
     named = docs.select(
@@ -268,9 +315,9 @@ def _labelled(texts: list[str], model: Model | None, letters: np.ndarray, switch
         spans = pa.array([[] for _ in texts], _SPANS)
         return [pa.array([UNKNOWN] * n), pa.array(np.zeros(n)), spans]
     lengths = np.bincount(words.text, minlength=n)
-    labels = viterbi(model.scores(words, letters), lengths, switch)
-    weight = np.zeros((n, len(model.languages)))
-    np.add.at(weight, (words.text, labels), words.stop - words.start)
+    labels = word_labels(model.scores(words, letters), lengths, switch)
+    k = len(model.languages)
+    weight = np.bincount(words.text * k + labels, words.stop - words.start, n * k).reshape(n, k)
     total = weight.sum(1)
     best = weight.argmax(1)
     names = np.array([*model.languages, UNKNOWN], object)[np.where(total > 0, best, len(model.languages))]

@@ -6,10 +6,11 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
-from lauter.llm import near_dedup
+from lauter.llm import language, near_dedup
 from lauter.llm.decontaminate import contamination, drop_contaminated
 from lauter.llm.exact_dedup import exact_dedup, keep_first_copies
 from lauter.llm.html_text import extract, read_page
@@ -369,6 +370,29 @@ def test_languages_of_held_out_documents(spark):
     assert held and right >= 0.9 * len(held)
 
 
+def test_pass_over_words_only_where_a_language_may_switch(monkeypatch):
+    draw = np.random.default_rng(5)
+    for k in (1, 2, 4):
+        lengths = draw.integers(0, 60, 300)
+        true = np.repeat(draw.integers(0, k, 300), lengths)
+        mixed = np.repeat(draw.random(300) < 0.3, lengths)
+        true[mixed] = (true[mixed] + (np.arange(mixed.sum()) // 15)) % k
+        scores = draw.normal(-20, 3, (len(true), k))
+        scores[np.arange(len(true)), true] += 4
+        expected = language.viterbi(scores, lengths, 12.0)
+        assert (language.word_labels(scores, lengths, 12.0) == expected).all()
+        assert (language.word_labels(scores, lengths, 0.0) == language.viterbi(scores, lengths, 0.0)).all()
+        whole = language.whole_language(scores, lengths, 12.0)
+        assert ((whole < 0).sum() < 200) and (k == 1 or (whole < 0).any())
+    model = language.Model(["a", "b"], np.array([0]), np.zeros((2, 2)), np.ones((len(language.SCRIPT_NAMES), 2), bool))
+    sure = np.tile([0.0, -9.0], (3, 1))
+    monkeypatch.setattr(language.Model, "scores", lambda *_: sure)
+    monkeypatch.setattr(language, "viterbi", lambda *_: pytest.fail("no word is in doubt"))
+    names, _, spans = language._labelled(["one two three"], model, language.letter_table(), 12.0)
+    assert names.to_pylist() == ["a"]
+    assert spans.to_pylist() == [[{"start": 0, "stop": 13, "lang": "a"}]]
+
+
 def test_languages_of_odd_texts(spark):
     docs = documents(spark, odd_texts())
     rows = {r.doc_id: r for r in label_languages(docs, learnable(docs, "doc_id", 4, 2)).collect()}
