@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lauter.operators.lookup import find_orphans
-from lauter.plans import analytics
+from lauter.plans import analytics, catalog, inputs, load
 from lauter.plans.load import (
     RunResult,
     load_order_file,
@@ -16,6 +16,7 @@ from lauter.plans.load import (
 )
 from lauter.schemas import FOREIGN_KEYS, TABLES
 from lauter.sinks import Warehouse, paths
+from lauter.sinks.dead_letters import write_dead_letters
 from lauter.sources import read_csv, read_json, read_ndjson
 
 ORDER_FILE = """\
@@ -110,6 +111,110 @@ def test_order_file_and_product_feed(spark, warehouse, files):
     ]
 
 
+def test_order_file_deletes_what_no_later_step_reads(spark, warehouse, files, monkeypatch):
+    load_product_feed(warehouse, read_json(spark, str(files / "products.json")))
+    staged = {}
+
+    def write(rows, folder, run_id, batch):
+        entity = batch.partition("-")[2]
+        top = warehouse.path("_staging", f"{run_id}-0")
+        staged[entity] = {n: set(paths.names(spark, f"{top}/{n}")) for n in paths.names(spark, top)}
+        return write_dead_letters(rows, folder, run_id, batch)
+
+    monkeypatch.setattr(load, "write_dead_letters", write)
+    raw = read_csv(spark, str(files / "orders.csv"))
+    result = load_order_file(warehouse, raw, with_items=True)
+    assert result.rows_ingested == 2 + 4 + 5 + 3
+    assert set(staged["customers"]) == {"raw", "customers"}
+    assert set(staged["orders"]) == {"raw", "orders"}
+    assert {n for n in staged["orders"]["raw"] if "=" in n} == {"_blank=true"}
+    assert set(staged["order_items"]) == {"order_items"}
+
+
+def test_order_file_without_blank_or_known_buyers(spark, warehouse):
+    row = "SELECT {} customer_email, 'Ada' customer_name, '' customer_phone, 'shipped' status, " \
+        "'5' total_amount, '2024-01-01' ordered_at, 'X' product_sku, '1' quantity, '1' unit_price, " \
+        "'Books' category, 1 _pos"
+    run_entity(warehouse, spark.sql("SELECT 'X' sku, 'x' name, '1' price, 1 _pos"), "products")
+    nobody = load_order_file(
+        warehouse, spark.sql(row.format("''") + " UNION ALL " + row.format("NULL")), with_items=True
+    )
+    assert (nobody.rows_ingested, nobody.rows_failed) == (1, 2)
+    nothing = load_order_file(warehouse, spark.sql(row.format("'a@b.co'")).where("false"), with_items=True)
+    assert (nothing.rows_ingested, nothing.rows_failed) == (0, 0)
+    buyer = load_order_file(warehouse, spark.sql(row.format("'a@b.co'")), with_items=True)
+    assert (buyer.rows_ingested, buyer.rows_failed) == (4, 0)
+
+
+def test_dead_letters_take_less_room_than_their_lines(spark, warehouse):
+    rows = spark.range(20_000).selectExpr("id AS i", "'Ada' AS name", "concat('no-address-', id) AS email")
+    result = run_entity(warehouse, rows, "customers", order_by=["i"])
+    found = letters(spark, result)
+    assert len(found) == result.rows_failed == 20_000
+    assert {e["record"]["email"] for e in found} == {f"no-address-{i}" for i in range(20_000)}
+    written = sum(len(json.dumps(e)) for e in found)
+    assert paths.size(spark, result.dead_letter_path) * 5 < written
+
+
+def shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    found = disk.getAllFiles().iterator()
+    names = set()
+    while found.hasNext():
+        name = found.next().getName()
+        if name.startswith("shuffle_"):
+            names.add(name)
+    return names
+
+
+def test_load_leaves_no_shuffle_files(spark, warehouse):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(name), shuffle_files(spark)
+    rows = spark.range(5_000).selectExpr("id AS i", "'Ada' AS name", "concat('u', id % 700, '@b.co') AS email")
+    assert run_entity(warehouse, rows.repartition(5, "email"), "customers", order_by=["i"]).rows_ingested == 700
+    broken = rows.repartition(6, "email").withColumn("name", F.raise_error(F.lit("boom")))
+    with pytest.raises(Exception, match="boom"):
+        run_entity(warehouse, broken, "customers", order_by=["i"])
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(name) == setting
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_order_lines_are_those_of_the_text(spark, tmp_path, broadcast):
+    """Odd keys and lines that come twice; a line is shuffled once, if its orders are not broadcast."""
+    spark.sql(
+        "SELECT CAST(k AS BIGINT) o_orderkey, CAST(c AS BIGINT) o_custkey, 'F' o_orderstatus, "
+        "12.5D o_totalprice, timestamp'1996-01-02' o_orderdate, '1' o_orderpriority "
+        "FROM VALUES (1, 1), (2, 2), (2, 1), (3, NULL), (NULL, 1), (41, 1), (-7, 2) t(k, c)"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql(
+        "SELECT CAST(k AS BIGINT) c_custkey, n c_name FROM VALUES (1, 'Ada'), (2, 'Ben'), (2, 'Ben II'), "
+        "(NULL, 'Eve'), (9, NULL) t(k, n)"
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql(
+        "SELECT CAST(k AS BIGINT) l_orderkey, CAST(n AS BIGINT) l_partkey, n l_linenumber, 2D l_quantity, "
+        "n * 10D l_extendedprice FROM VALUES (1, 1), (1, 2), (1, 2), (2, 1), (2, 3), (3, 1), (NULL, 1), "
+        "(5, 1), (41, 4), (-7, 1), (1, NULL) t(k, n)"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, broadcast)
+    try:
+        text = inputs.derive(spark, str(tmp_path), catalog.ORDER_FILE)
+        lines = catalog.order_lines(spark, str(tmp_path))
+        assert lines.schema == text.schema
+        # which of two lines that are alike in all but the buyer's name comes first is open
+        shown = [F.floor(F.col("n") / 1000).alias("n"), *[c for c in text.columns if c != "n"]]
+        assert sorted(map(str, lines.select(*shown).collect())) == sorted(map(str, text.select(*shown).collect()))
+        assert sorted(r.n for r in lines.collect()) == sorted(r.n for r in text.collect()) != []
+        plans = [f.select("*")._jdf.queryExecution().executedPlan().toString() for f in (text, lines)]
+    finally:
+        spark.conf.set(name, before)
+    if broadcast == "-1":
+        # lines, orders, orders again, customers and the buyers of orders
+        assert [p.count("Exchange hashpartitioning") for p in plans] == [7, 5]
+
+
 def test_run_entity_routes(spark, warehouse, files):
     raw = read_csv(spark, str(files / "orders.csv"))
     wrong = run_entity(warehouse, raw, "customers")
